@@ -1,0 +1 @@
+"""Training-data operators: scoring, filtering, matching, deduplication and mixing of text corpora."""
