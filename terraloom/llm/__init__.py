@@ -1 +1,10 @@
-"""Training-data operators: scoring, filtering, matching, deduplication and mixing of text corpora."""
+"""Training-data operators: scoring, filtering, matching, deduplication and mixing of text corpora.
+
+Functions of this package travel to the Python workers by value, so executors need no copy of it.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

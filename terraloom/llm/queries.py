@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terraloom.llm import langid, quality
+from terraloom.llm.common import id_mod
 from terraloom.llm.line_dedup import dedup_pages
 from terraloom.llm.mixing import mix_sources
 
@@ -15,6 +17,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = id_mod("doc_id", 5) == 0
+    net = quality.fit(docs.where(~held), table(spark, sf_dir, "labels"))
+    out = quality.with_quality(docs, net)
+    return out.select("doc_id", held.alias("held_out"), F.col("_quality").alias("score"), (F.col("_quality") >= 0.3).cast("int").alias("predicted"))
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = id_mod("doc_id", 3) == 1
+    model = langid.fit(docs.where(~held))
+    out = langid.with_language(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", held.alias("held_out"), F.col("_lang.lang").alias("lang_pred"), F.col("_lang.score").alias("score"), F.col("_lang.rate").alias("rate"))
+
+
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
 
