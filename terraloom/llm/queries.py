@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from terraloom.llm import langid, quality
 from terraloom.llm.common import id_mod
+from terraloom.llm.jaccard import jaccard_components
 from terraloom.llm.line_dedup import dedup_pages
 from terraloom.llm.mixing import mix_sources
 
@@ -33,6 +34,10 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held.alias("held_out"), F.col("_lang.lang").alias("lang_pred"), F.col("_lang.score").alias("score"), F.col("_lang.rate").alias("rate"))
 
 
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
 
