@@ -340,7 +340,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     apart = member.select("gid", "fp").join(comp.select(F.col("node").alias("fp"), "component"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     mixed = apart.groupBy("gid").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("gid")
     apart = staged(apart.join(mixed, "gid", "left_semi"), "apart")
-    x, y = apart.toDF("b", "gid", "cb"), apart.toDF("a", "gid", "ca")
+    x = apart.select("gid", F.col("fp").alias("b"), F.col("component").alias("cb"))
+    y = apart.select("gid", F.col("fp").alias("a"), F.col("component").alias("ca"))
     rest = x.join(y, "gid").where("a < b and ca <> cb").select("a", "b").distinct()
     done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = staged(verified(staged(rest.join(done, ["a", "b"], "left_anti"), "rest"), sets, percent), "more")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from terraloom.llm import langid, quality
 from terraloom.llm.common import id_mod
 from terraloom.llm.jaccard import jaccard_components
+from terraloom.llm.katz import katz_scores
 from terraloom.llm.line_dedup import dedup_pages
 from terraloom.llm.mixing import mix_sources
 
@@ -18,6 +19,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz_scores(table(spark, sf_dir, "documents"), id_mod("doc_id", 5) == 1)
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held = id_mod("doc_id", 5) == 0
