@@ -29,9 +29,10 @@ from terraloom.llm.tokens import mix64, per_text, text_slices, word_hashes, word
 
 N = 5
 #: Sample of texts for the frequency estimate, and the sampled sets from which a shingle counts as frequent.
-SAMPLE, FREQUENT = 5000, 8
+SAMPLE, FREQUENT = 10_000, 4
 SLICE_BYTES = 8 << 20
 FILTER_BITS = 24
+BINS = 256
 _C = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 _K = np.uint64(0x8EBC6AF09C88C6E3)
 
@@ -212,6 +213,22 @@ def fixed_filter(ids: DataFrame) -> np.ndarray:
     return packed.reshape(-1)
 
 
+def bounded(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
+    """The pairs that may reach the similarity: the sum over BINS hash bins of the smaller count is never
+    below the intersection, so a pair is dropped only if its sets cannot be similar enough."""
+    def bound(batches):
+        for batch in batches:
+            x = np.frombuffer(b"".join(batch.column("pa").to_pylist()), np.uint16).reshape(-1, BINS).astype(np.int32)
+            y = np.frombuffer(b"".join(batch.column("pb").to_pylist()), np.uint16).reshape(-1, BINS).astype(np.int32)
+            both = np.minimum(x, y).sum(1)
+            full = (x == 65535).any(1) | (y == 65535).any(1)
+            yield batch.select(["a", "b"]).filter(pa.array(full | (100 * both >= percent * (x.sum(1) + y.sum(1) - both))))
+
+    j = pairs.join(profiles.select(F.col("fp").alias("b"), F.col("profile").alias("pb")), "b")
+    j = j.join(profiles.select(F.col("fp").alias("a"), F.col("profile").alias("pa")), "a").select("a", "b", "pa", "pb")
+    return j.mapInArrow(bound, "a long, b long")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets reach the similarity, compared element by element."""
     def compare(batches):
@@ -324,16 +341,37 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     member = staged(found.dropDuplicates(["gid"]).select("gid", F.array_min("members").alias("pivot"), F.explode("members").alias("fp")), "member")
     drop_staged(found)
 
-    bitmap = spark.sparkContext.broadcast(fixed_filter(member.select("fp").distinct()))
-    cand = member.select("fp").distinct()
-    sets = d.select("text").mapInArrow(lambda it: sets_of(it, bitmap.value), "fp long, shingles binary").join(cand, "fp", "left_semi")
-    sets = staged(sets.dropDuplicates(["fp"]), "sets")
-    release(spark)
+    def of_candidates(ids: DataFrame, name: str) -> DataFrame:
+        """Sets (or their bin counts) of the texts whose fingerprint is among ``ids``, read from the texts again."""
+        bitmap = spark.sparkContext.broadcast(fixed_filter(ids))
+
+        def profiles_of(batches):
+            for batch in sets_of(batches, bitmap.value):
+                sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("shingles")]
+                rows = [np.minimum(np.bincount((x >> np.uint64(56)).astype(np.int64), minlength=BINS), 65535).astype(np.uint16).tobytes() for x in sets]
+                yield pa.RecordBatch.from_arrays([batch.column("fp"), pa.array(rows, pa.binary())], ["fp", "profile"])
 
+        if name == "profiles":
+            got = d.select("text").mapInArrow(profiles_of, "fp long, profile binary")
+        else:
+            got = d.select("text").mapInArrow(lambda it: sets_of(it, bitmap.value), "fp long, shingles binary")
+        out = staged(got.join(ids, "fp", "left_semi").dropDuplicates(["fp"]), name)
+        release(spark)
+        return out
+
+    def linked(pairs: DataFrame, profiles: DataFrame, name: str) -> DataFrame:
+        likely = staged(bounded(pairs, profiles, percent), name + "-likely")
+        sets = of_candidates(likely.select(F.col("a").alias("fp")).union(likely.select("b")).distinct(), "sets")
+        out = staged(verified(likely, sets, percent), name)
+        drop_staged(sets, likely)
+        release(spark)
+        return out
+
+    profiles = of_candidates(member.select("fp").distinct(), "profiles")
     best = (member.where("fp <> pivot").groupBy("fp", "pivot").agg(F.count("*").alias("n"))
             .groupBy("fp").agg(F.max_by("pivot", F.struct("n", "pivot")).alias("a")).select("a", F.col("fp").alias("b")))
     tried = staged(best, "tried")
-    links = staged(verified(tried, sets, percent), "links")
+    links = linked(tried, profiles, "links")
     comp = connected_components(links)
 
     # what the first links leave apart inside a candidate group
@@ -344,8 +382,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     y = apart.select("gid", F.col("fp").alias("a"), F.col("component").alias("ca"))
     rest = x.join(y, "gid").where("a < b and ca <> cb").select("a", "b").distinct()
     done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = staged(verified(staged(rest.join(done, ["a", "b"], "left_anti"), "rest"), sets, percent), "more")
-    drop_staged(sets, apart, member)
+    more = linked(rest.join(done, ["a", "b"], "left_anti"), profiles, "more")
+    drop_staged(apart, member, profiles)
     if more.limit(1).count():
         comp = connected_components(links.unionByName(more))
     release(spark)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from terraloom.llm import langid, quality
 from terraloom.llm.common import id_mod
+from terraloom.llm.embeddings import near_duplicates
 from terraloom.llm.jaccard import jaccard_components
 from terraloom.llm.katz import katz_scores
 from terraloom.llm.line_dedup import dedup_pages
@@ -31,6 +32,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held.alias("held_out"), F.col("_quality").alias("score"), (F.col("_quality") >= 0.3).cast("int").alias("predicted"))
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held = id_mod("doc_id", 3) == 1
