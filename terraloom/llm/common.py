@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,6 +44,15 @@ def drop_staged(*frames: DataFrame) -> None:
             p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Has Spark clean the shuffle files of finished steps: Python drops its handles, then the JVM its
+    references, then Spark's cleaner thread follows; the second round sees what the first let go."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.6)
+
+
 def id_mod(id_col: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus`` (a null id counts as the empty string)."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % F.lit(modulus)

@@ -16,7 +16,6 @@ different components. Identical sets are one set throughout; groups of copies ne
 
 from __future__ import annotations
 
-import gc
 import math
 
 import numpy as np
@@ -24,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terraloom.llm.common import connected_components, drop_staged, partitions, staged
+from terraloom.llm.common import connected_components, drop_staged, partitions, release, staged
 from terraloom.llm.tokens import mix64, per_text, text_slices, word_hashes, words
 
 N = 5
@@ -245,12 +244,6 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return j.mapInArrow(compare, "a long, b long")
 
 
-def release(spark) -> None:
-    """Lets Spark clean the shuffle files of finished steps."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, n: int = N) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row.
 

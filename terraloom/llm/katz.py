@@ -24,8 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terraloom.llm.common import drop_staged, partitions, staged
-from terraloom.llm.jaccard import release
+from terraloom.llm.common import drop_staged, partitions, release, staged
 from terraloom.llm.tokens import mix64, per_text, segment_sums, text_slices, word_hashes, words
 
 K = 5
@@ -264,8 +263,9 @@ def katz_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
             heads = np.flatnonzero(np.r_[True, hh[1:] != hh[:-1]])
             k = lists[i]
             j = np.repeat(e[i] - np.r_[0, np.cumsum(k)[:-1]], k) + np.arange(k.sum())
-            out.append(np.array([len(i), len(heads), len(j)], np.uint32).tobytes() + hh[heads].tobytes() + np.diff(np.r_[heads, len(i)]).astype(np.uint32).tobytes() + word[i].tobytes()
-                       + cw[wi[i]].astype(np.uint32).tobytes() + n_train[i].astype(np.uint32).tobytes() + k.astype(np.uint32).tobytes() + doc[j].astype(np.uint32).tobytes() + times[j].astype(np.uint32).tobytes())
+            mine, at = np.unique(wi[i], return_inverse=True)  # each word of the bucket once
+            raw = b"".join(x.tobytes() for x in (hh[heads], u[mine], np.diff(np.r_[heads, len(i)]).astype(np.uint32), cw[mine].astype(np.uint32), at.astype(np.uint32), n_train[i].astype(np.uint32), k.astype(np.uint32), doc[j].astype(np.uint32), times[j].astype(np.uint32)))
+            out.append(np.array([len(heads), len(mine), len(i), len(j)], np.uint32).tobytes() + pa.compress(raw, "zstd", asbytes=True))
         n = len(full)
         return pa.table({"bucket": pa.array(np.r_[full, -1 - no].astype(np.int64)), "batch": pa.array(np.full(n + 1, no)), "kind": pa.array(np.r_[np.ones(n), 0].astype(np.int32)), "payload": pa.array([*out, info], pa.binary()),
                          "ids": pa.concat_arrays([pa.nulls(n, row.schema.field("ids").type), row.column("ids").combine_chunks()]), "held": pa.concat_arrays([pa.nulls(n, row.schema.field("held").type), row.column("held").combine_chunks()])})
@@ -285,15 +285,11 @@ def katz_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
         cols = [[] for _ in range(8)]
         for row, x in enumerate(t.column("payload")):
             buf = x.as_buffer()
-            n, heads, m = (int(v) for v in np.frombuffer(buf, np.uint32, 3))
-            raw, at = np.frombuffer(buf, np.uint8), 12
-            def take(kind, k):
-                nonlocal at
-                v = raw[at : at + k * np.dtype(kind).itemsize].view(kind) if (raw.ctypes.data + at) % 8 == 0 else np.frombuffer(raw[at : at + k * np.dtype(kind).itemsize].tobytes(), kind)
-                at += k * np.dtype(kind).itemsize
-                return v
-            h, fan = take(np.uint64, heads), take(np.uint32, heads)
-            for c, v in zip(cols, [np.repeat(h, fan), take(np.uint64, n), take(np.uint32, n), take(np.uint32, n), take(np.uint32, n), take(np.uint32, m), take(np.uint32, m), np.full(n, row)]):
+            heads, mine, n, m = (int(v) for v in np.frombuffer(buf, np.uint32, 4))
+            raw = pa.decompress(buf.slice(16), 12 * heads + 12 * mine + 12 * n + 8 * m, "zstd")
+            h, mw = np.frombuffer(raw, np.uint64, heads), np.frombuffer(raw, np.uint64, mine, 8 * heads)
+            fan, mc, at, nt, k, doc, times = np.split(np.frombuffer(raw, np.uint32, offset=8 * (heads + mine)), np.cumsum([heads, mine, n, n, n, m]))
+            for c, v in zip(cols, [np.repeat(h, fan), mw[at], mc[at], nt, k, doc, times, np.full(n, row, np.int32)]):
                 c.append(v)
         h, w, cw, nt, k, doc, times, row = (np.concatenate(c) for c in cols)
         order = np.lexsort((w, h))
