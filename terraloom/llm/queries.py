@@ -7,13 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terraloom.llm import langid, quality
+from terraloom.llm import langid, pii, quality
 from terraloom.llm.common import id_mod
+from terraloom.llm.decontam import contaminated
 from terraloom.llm.embeddings import near_duplicates
 from terraloom.llm.jaccard import jaccard_components
 from terraloom.llm.katz import katz_scores
 from terraloom.llm.line_dedup import dedup_pages
 from terraloom.llm.mixing import mix_sources
+from terraloom.llm.secrets import secret_digests
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +34,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held.alias("held_out"), F.col("_quality").alias("score"), (F.col("_quality") >= 0.3).cast("int").alias("predicted"))
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digests(table(spark, sf_dir, "documents"))
+
+
 def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -44,6 +50,11 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held.alias("held_out"), F.col("_lang.lang").alias("lang_pred"), F.col("_lang.score").alias("score"), F.col("_lang.rate").alias("rate"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.pii_digests(docs, *pii.fit(docs))
+
+
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -57,6 +68,10 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "host", "n_lines", "n_dropped", F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
