@@ -29,9 +29,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the lines that over 20 % of their source's documents hold (sources of 50 documents and
+    """Texts without the lines that over 10 % of their source's documents hold (sources of 50 documents and
     more); ``n_chars`` follows. A document of which nothing is left goes; null texts stay as they are."""
-    out = drop_site_lines(docs.select(*COLUMNS), F.col("source"), F.split("text", "\n"), max_ratio=0.2, min_pages=50)
+    out = drop_site_lines(docs.select(*COLUMNS), F.col("source"), F.split("text", "\n"), max_ratio=0.1, min_pages=50)
     dropped = F.size("_lines") < F.col("_n")
     text = F.when(dropped, F.array_join("_lines", "\n")).otherwise(F.col("text"))
     out = out.withColumn("_text", text).where(F.col("text").isNull() | ~dropped | (F.trim("_text") != ""))
