@@ -9,8 +9,9 @@ per set, segments without a rare shingle (blank ones, or shared passages only) a
 Sets left with too few units ("poor") also index a prefix of their rarest shingles, which finds all pairs of
 poor sets. Which shingles count as frequent comes from a bounded sample; it moves cost only, never results.
 
-Signatures travel packed, a few rows per task and bucket. Candidate groups are verified exactly: first each
-set against the partner it shares most groups with, then, after merging what is linked, only pairs of
+Each set then leaves its largest candidate groups to the others as far as its spare units allow, so groups
+around shared passages fall away. Signatures travel packed, a few rows per task and bucket. Candidate groups are verified exactly: first each
+set against a hub of its groups, then, after merging what is linked, only pairs of
 different components. Identical sets are one set throughout; groups of copies never expand into pairs.
 """
 
@@ -22,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from terraloom.llm.common import connected_components, drop_staged, partitions, release, staged
 from terraloom.llm.tokens import mix64, per_text, text_slices, word_hashes, words
@@ -32,6 +34,8 @@ SAMPLE, FREQUENT = 10_000, 4
 SLICE_BYTES = 8 << 20
 FILTER_BITS = 24
 BINS = 256
+#: Members of a candidate group compared at once with as many others.
+BLOCK = 512
 _C = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 _K = np.uint64(0x8EBC6AF09C88C6E3)
 
@@ -64,12 +68,12 @@ def shingle_sets(buf: np.ndarray, offsets: np.ndarray, n: int = N) -> tuple[np.n
 
 
 def fingerprints(h: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """One 64-bit fingerprint a set (0 for the empty one)."""
+    """One even 64-bit fingerprint a set (0 for the empty one); the last bit is left for a role."""
     out = np.zeros(len(sizes), np.uint64)
     live = np.flatnonzero(sizes)
     if len(live):
         at = np.r_[0, np.cumsum(sizes)[:-1]][live]
-        out[live] = mix64(np.add.reduceat(mix64(h ^ _K), at) * _C[1] + np.add.reduceat(h, at) * _C[2] + sizes[live].astype(np.uint64))
+        out[live] = mix64(np.add.reduceat(mix64(h ^ _K), at) * _C[1] + np.add.reduceat(h, at) * _C[2] + sizes[live].astype(np.uint64)) & ~np.uint64(1)
     return out
 
 
@@ -104,10 +108,15 @@ def max_difference(total: int, percent: int) -> int:
     return (100 - percent) * total // (100 + percent)
 
 
-def signatures(h: np.ndarray, sizes: np.ndarray, hot: np.ndarray, hot_n: np.ndarray, percent: int, plan) -> tuple[np.ndarray, np.ndarray]:
-    """(signature, set index) pairs; see the module's text."""
-    out_s, out_d = [], []
+def signatures(h: np.ndarray, sizes: np.ndarray, hot: np.ndarray, hot_n: np.ndarray, percent: int, plan) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Signatures, 2 * set index + role of each, and the slack (set, role); see the module's text.
+
+    Role 0 is a set in its own size band, role 1 a visitor in the next. The last bit of a signature tells
+    prefix (1) from segment (0). Slack: the units a set has beyond those it needs, -1 if it is poor."""
+    out_s, out_d = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     n_docs = len(sizes)
+    slack = np.full((n_docs, 2), -1)
+    even = ~np.uint64(1)
     doc = np.repeat(np.arange(n_docs), sizes)
     if len(hot):
         at = np.minimum(np.searchsorted(hot, h), len(hot) - 1)
@@ -140,21 +149,23 @@ def signatures(h: np.ndarray, sizes: np.ndarray, hot: np.ndarray, hot_n: np.ndar
         tag = mix64((band[seg_doc].astype(np.uint64) << np.uint64(40)) + seg_no.astype(np.uint64) + _C[4])
         deletes = (seg_no < r[seg_doc]) & (rares >= 2)
         whole = rares >= 1
-        out_s.append(mix64(sums[whole] + tag[whole]))
-        out_d.append(seg_doc[whole])
+        out_s.append(mix64(sums[whole] + tag[whole]) & even)
+        out_d.append(2 * seg_doc[whole] + visit)
         z = deletes[g]
-        out_s.append(mix64(sums[g[z]] - v[z] + tag[g[z]]))
-        out_d.append(d[z])
+        out_s.append(mix64(sums[g[z]] - v[z] + tag[g[z]]) & even)
+        out_d.append(2 * d[z] + visit)
         units = np.bincount(seg_doc, whole.astype(np.int64) + deletes, n_docs)
         partner = np.minimum(100 * sizes // percent, 2 * floor - 1)
         need = (100 - percent) * (sizes + partner) // (100 + percent) + 1
+        # a segment counts once here even where it stands for two units: what may be skipped errs on the safe side
+        slack[:, visit] = np.where(use & (units >= need), (units - need) // np.where(r > 0, 2, 1), -1)
         for i in np.flatnonzero(use & (units < need)):
             x, f = h[start[i] : start[i + 1]], df[start[i] : start[i + 1]]
             k = len(x) - -(-percent * len(x) // 100) + 1
             x = x[np.lexsort((x, f))[:k]]
-            out_s.append(mix64(x + mix64(np.array([band[i] + 1000], np.uint64))))
-            out_d.append(np.full(k, i))
-    return (np.concatenate(out_s), np.concatenate(out_d)) if out_s else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            out_s.append(mix64(x + mix64(np.array([band[i] + 1000], np.uint64))) | np.uint64(1))
+            out_d.append(np.full(k, 2 * i + visit))
+    return np.concatenate(out_s), np.concatenate(out_d), slack
 
 
 def pack(fp: np.ndarray, sig: np.ndarray, doc: np.ndarray) -> bytes:
@@ -296,7 +307,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     def index(batches):
         for batch in batches:
             for *_, h, sizes, fp in unique_sets(batch.column("text"), n):
-                sig, doc = signatures(h, sizes, *frequent.value, percent, plan)
+                sig, doc, _ = signatures(h, sizes, *frequent.value, percent, plan)
+                fp = np.repeat(fp, 2) | np.tile(np.array([0, 1], np.uint64), len(fp))
                 bucket = ((sig >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
                 by = np.argsort(bucket, kind="stable")
                 cut = np.searchsorted(bucket[by], np.arange(buckets + 1))
@@ -321,17 +333,22 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         sig, fp = sig[new], fp[new]
         cut = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]]) if len(sig) else np.zeros(0, np.int64)
         size = np.diff(np.r_[cut, len(sig)])
-        gid = mix64(np.add.reduceat(mix64(fp + _C[0]), cut) + size.astype(np.uint64)) if len(cut) else np.zeros(0, np.uint64)
-        _, once = np.unique(gid, return_index=True)
-        once = once[size[once] > 1]
+        kind = sig[cut] & np.uint64(1)
+        gid = mix64(np.add.reduceat(mix64(fp + _C[0]), cut) + (size.astype(np.uint64) << np.uint64(1)) + kind) if len(cut) else np.zeros(0, np.uint64)
+        _, once, times = np.unique(gid, return_index=True, return_counts=True)
+        once, times = once[size[once] > 1], times[size[once] > 1]
         offs = np.r_[0, np.cumsum(size[once])]
         flat = np.concatenate([fp[cut[i] : cut[i] + size[i]] for i in once]) if len(once) else fp[:0]
-        return pa.table({"gid": pa.array(gid[once].view(np.int64)), "members": pa.ListArray.from_arrays(pa.array(offs.astype(np.int32)), pa.array(flat.view(np.int64)))})
+        return pa.table({"gid": pa.array(gid[once].view(np.int64)), "prefix": pa.array(kind[once] == 1), "times": pa.array(times), "members": pa.ListArray.from_arrays(pa.array(offs.astype(np.int32)), pa.array(flat.view(np.int64)))})
 
     packed = d.select("text").mapInArrow(index, "bucket int, payload binary")
-    found = staged(packed.groupBy("bucket").applyInArrow(groups_of, "gid long, members array<long>"), "found")
+    groups = "gid long, prefix boolean, times long, members array<long>"
+    found = staged(packed.groupBy("bucket").applyInArrow(groups_of, groups), "found")
     release(spark)
-    member = staged(found.dropDuplicates(["gid"]).select("gid", F.array_min("members").alias("pivot"), F.explode("members").alias("fp")), "member")
+    # a group that several signatures share is one group, counted as often
+    whole = found.groupBy("gid").agg(F.first("prefix").alias("prefix"), F.sum("times").alias("times"), F.first("members").alias("members"))
+    member = staged(whole.select("gid", "prefix", "times", F.size("members").alias("n"), F.explode("members").alias("fp"))
+                    .withColumn("role", F.col("fp").bitwiseAND(1)).withColumn("fp", F.col("fp").bitwiseAND(-2)), "member")
     drop_staged(found)
 
     def of_candidates(ids: DataFrame, name: str) -> DataFrame:
@@ -342,18 +359,19 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             for batch in sets_of(batches, bitmap.value):
                 sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("shingles")]
                 rows = [np.minimum(np.bincount((x >> np.uint64(56)).astype(np.int64), minlength=BINS), 65535).astype(np.uint16).tobytes() for x in sets]
-                yield pa.RecordBatch.from_arrays([batch.column("fp"), pa.array(rows, pa.binary())], ["fp", "profile"])
+                slack = signatures(np.concatenate(sets), np.array([len(x) for x in sets]), *frequent.value, percent, plan)[2] if sets else np.zeros((0, 2), np.int64)
+                yield pa.RecordBatch.from_arrays([batch.column("fp"), pa.array(rows, pa.binary()), pa.array(slack[:, 0]), pa.array(slack[:, 1])], ["fp", "profile", "own", "visit"])
 
         if name == "profiles":
-            got = d.select("text").mapInArrow(profiles_of, "fp long, profile binary")
+            got = d.select("text").mapInArrow(profiles_of, "fp long, profile binary, own long, visit long")
         else:
             got = d.select("text").mapInArrow(lambda it: sets_of(it, bitmap.value), "fp long, shingles binary")
         out = staged(got.join(ids, "fp", "left_semi").dropDuplicates(["fp"]), name)
         release(spark)
         return out
 
-    def linked(pairs: DataFrame, profiles: DataFrame, name: str) -> DataFrame:
-        likely = staged(bounded(pairs, profiles, percent), name + "-likely")
+    def linked(pairs: DataFrame, name: str) -> DataFrame:
+        likely = staged(pairs, name + "-likely")
         sets = of_candidates(likely.select(F.col("a").alias("fp")).union(likely.select("b")).distinct(), "sets")
         out = staged(verified(likely, sets, percent), name)
         drop_staged(sets, likely)
@@ -361,21 +379,66 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         return out
 
     profiles = of_candidates(member.select("fp").distinct(), "profiles")
-    best = (member.where("fp <> pivot").groupBy("fp", "pivot").agg(F.count("*").alias("n"))
-            .groupBy("fp").agg(F.max_by("pivot", F.struct("n", "pivot")).alias("a")).select("a", F.col("fp").alias("b")))
+    # cost-based allocation: of the groups of its segments a set leaves out the largest, as many as its slack
+    # allows (all, if it is poor); what remains still has more units than any partner can differ in
+    slack = F.when(F.col("role") == 0, F.col("own")).otherwise(F.col("visit"))
+    spent = F.sum(F.when(F.col("prefix"), 0).otherwise(F.col("times"))).over(Window.partitionBy("fp", "role").orderBy(F.desc("n"), "gid").rowsBetween(Window.unboundedPreceding, 0))
+    probing = F.col("prefix") | ((slack >= 0) & (spent > slack))
+    member = staged(member.join(profiles.select("fp", "own", "visit"), "fp").select("gid", "fp", "n", probing.alias("probing")), "probes")
+    member = staged(member.join(member.where("probing").select("gid").distinct(), "gid", "left_semi"), "alive")
+
+    # first try: each set with the hub it shares most groups with; a group's hub is its member in most company
+    company = member.groupBy("fp").agg(F.sum("n").alias("score"))
+    hubs = member.join(company, "fp").groupBy("gid").agg(F.max_by("fp", F.struct("score", "fp")).alias("hub"))
+    best = (member.join(hubs, "gid").where("fp <> hub").groupBy("fp", "hub").agg(F.count("*").alias("n"))
+            .groupBy("fp").agg(F.max_by("hub", F.struct("n", "hub")).alias("a")).select("a", F.col("fp").alias("b")))
     tried = staged(best, "tried")
-    links = linked(tried, profiles, "links")
+    links = linked(bounded(tried, profiles, percent), "links")
     comp = connected_components(links)
 
     # what the first links leave apart inside a candidate group
-    apart = member.select("gid", "fp").join(comp.select(F.col("node").alias("fp"), "component"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    mixed = apart.groupBy("gid").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("gid")
-    apart = staged(apart.join(mixed, "gid", "left_semi"), "apart")
-    x = apart.select("gid", F.col("fp").alias("b"), F.col("component").alias("cb"))
-    y = apart.select("gid", F.col("fp").alias("a"), F.col("component").alias("ca"))
-    rest = x.join(y, "gid").where("a < b and ca <> cb").select("a", "b").distinct()
+    apart = member.select("gid", "fp", "probing").join(comp.select(F.col("node").alias("fp"), "component"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    mixed = apart.groupBy("gid").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).where("lo <> hi").select("gid", "n")
+    apart = staged(apart.join(mixed, "gid"), "apart")
+    # each pair of blocks of a group's members is one small unit of work, several units go to one bucket
+    blocks = F.ceil(F.col("n") / BLOCK)
+    mine = F.pmod(F.xxhash64("fp"), blocks)
+    units = (apart.withColumn("block", mine).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+             .withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other")))
+    spread = max(2 * partitions(spark), apart.count() // 20_000)
+    units = units.withColumn("bucket", F.pmod(F.xxhash64("gid", "lo", "hi"), F.lit(spread))).join(profiles.select("fp", "profile"), "fp")
+
+    def crossed(t: pa.Table) -> pa.Table:
+        gid, lo, hi, block = (t.column(c).to_numpy() for c in ("gid", "lo", "hi", "block"))
+        order = np.lexsort((hi, lo, gid))
+        key = np.stack([gid, lo, hi])[:, order]
+        cut = np.r_[np.flatnonzero(np.r_[True, (key[:, 1:] != key[:, :-1]).any(0)]), len(order)]
+        fp, of, probe = t.column("fp").to_numpy(), t.column("component").to_numpy(), t.column("probing").to_numpy(zero_copy_only=False)
+        prof = np.frombuffer(b"".join(t.column("profile").to_pylist()), np.uint16).reshape(-1, BINS)
+        size = prof.sum(1, dtype=np.int64)
+        full = (prof == 65535).any(1)
+        out = []
+        for c0, c1 in zip(cut, cut[1:]):
+            rows = order[c0:c1]
+            if lo[rows[0]] == hi[rows[0]]:
+                i, j = np.triu_indices(len(rows), 1)
+            else:
+                left = block[rows] == lo[rows[0]]
+                i, j = (x.ravel() for x in np.meshgrid(np.flatnonzero(left), np.flatnonzero(~left), indexing="ij"))
+            i, j = rows[i], rows[j]
+            ok = (of[i] != of[j]) & (probe[i] | probe[j]) & (full[i] | full[j] | (100 * np.minimum(size[i], size[j]) >= percent * np.maximum(size[i], size[j])))
+            i, j = i[ok], j[ok]
+            for k in range(0, len(i), 20_000):
+                x, y = i[k : k + 20_000], j[k : k + 20_000]
+                both = np.minimum(prof[x], prof[y]).sum(1, dtype=np.int64)
+                near = full[x] | full[y] | (100 * both >= percent * (size[x] + size[y] - both))
+                out.append(np.stack([np.minimum(fp[x[near]], fp[y[near]]), np.maximum(fp[x[near]], fp[y[near]])]))
+        pairs = np.unique(np.concatenate(out, 1), axis=1) if out else np.zeros((2, 0), np.int64)
+        return pa.table({"a": pairs[0], "b": pairs[1]})
+
+    rest = units.groupBy("bucket").applyInArrow(crossed, "a long, b long").distinct()
     done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = linked(rest.join(done, ["a", "b"], "left_anti"), profiles, "more")
+    more = linked(rest.join(done, ["a", "b"], "left_anti"), "more")
     drop_staged(apart, member, profiles)
     if more.limit(1).count():
         comp = connected_components(links.unionByName(more))
