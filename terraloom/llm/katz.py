@@ -30,6 +30,7 @@ from terraloom.llm.tokens import mix64, per_text, segment_sums, text_slices, wor
 K = 5
 HOT_PARTS = 2000
 SLICE_BYTES = 8 << 20
+LOW = np.uint64(0xFFFFFFFFFFFF)
 END, START = np.uint64(0x454E44454E44454E), np.uint64(0x5354415254535441)
 _C = np.uint64(0x9E3779B97F4A7C15)
 
@@ -45,6 +46,17 @@ def tokens(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return out, np.repeat(np.arange(docs), np.diff(start)), start
 
 
+def short(x: np.ndarray) -> bytes:
+    """The low six bytes of each hash: inside a bucket they tell its histories, and a history's words, apart."""
+    return np.ascontiguousarray(x).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def unshort(raw, k: int, at: int) -> np.ndarray:
+    out = np.zeros((k, 8), np.uint8)
+    out[:, :6] = np.frombuffer(raw, np.uint8, 6 * k, at).reshape(-1, 6)
+    return out.view(np.uint64)[:, 0]
+
+
 def by_bucket(bucket: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Stable order by bucket, the cuts between buckets, and the buckets that have entries."""
     order = np.argsort(bucket, kind="stable")
@@ -213,12 +225,16 @@ def katz_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     order = np.argsort(hot)
     hot, hot_c = hot[order], hot_c[order]
 
+    # the pair buckets know histories by their low six bytes
+    order = np.argsort(hot & LOW)
+    hot_short, hot_short_c = (hot & LOW)[order], hot_c[order]
+
     def ship(batches):
         for no, rows, buf, offsets in slices(batches):
             one = np.array([0, len(rows)], np.int32)
             yield pa.RecordBatch.from_arrays([
                 pa.array([no]), pa.ListArray.from_arrays(pa.array(one), rows.column("doc_id")), pa.ListArray.from_arrays(pa.array(one), rows.column("held")),
-                pa.array([pa.compress(buf.tobytes(), "zstd", asbytes=True)], pa.binary()), pa.array([len(buf)]), pa.array([offsets.astype(np.int64).tobytes()], pa.binary())], ["batch", "ids", "held", "text", "size", "offsets"])
+                pa.array([pa.Codec("zstd", compression_level=9).compress(buf.tobytes(), asbytes=True)], pa.binary()), pa.array([len(buf)]), pa.array([offsets.astype(np.int64).tobytes()], pa.binary())], ["batch", "ids", "held", "text", "size", "offsets"])
 
     texts = d.mapInArrow(ship, f"batch long, ids array<{id_type}>, held array<boolean>, text binary, size long, offsets binary")
     entries = f"bucket long, batch long, kind int, payload binary, ids array<{id_type}>, held array<boolean>"
@@ -264,7 +280,7 @@ def katz_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
             k = lists[i]
             j = np.repeat(e[i] - np.r_[0, np.cumsum(k)[:-1]], k) + np.arange(k.sum())
             mine, at = np.unique(wi[i], return_inverse=True)  # each word of the bucket once
-            raw = b"".join(x.tobytes() for x in (hh[heads], u[mine], np.diff(np.r_[heads, len(i)]).astype(np.uint32), cw[mine].astype(np.uint32), at.astype(np.uint32), n_train[i].astype(np.uint32), k.astype(np.uint32), doc[j].astype(np.uint32), times[j].astype(np.uint32)))
+            raw = short(hh[heads]) + short(u[mine]) + b"".join(x.tobytes() for x in (np.diff(np.r_[heads, len(i)]).astype(np.uint32), cw[mine].astype(np.uint32), at.astype(np.uint32), n_train[i].astype(np.uint32), k.astype(np.uint32), doc[j].astype(np.uint32), times[j].astype(np.uint32)))
             out.append(np.array([len(heads), len(mine), len(i), len(j)], np.uint32).tobytes() + pa.compress(raw, "zstd", asbytes=True))
         n = len(full)
         return pa.table({"bucket": pa.array(np.r_[full, -1 - no].astype(np.int64)), "batch": pa.array(np.full(n + 1, no)), "kind": pa.array(np.r_[np.ones(n), 0].astype(np.int32)), "payload": pa.array([*out, info], pa.binary()),
@@ -286,14 +302,14 @@ def katz_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
         for row, x in enumerate(t.column("payload")):
             buf = x.as_buffer()
             heads, mine, n, m = (int(v) for v in np.frombuffer(buf, np.uint32, 4))
-            raw = pa.decompress(buf.slice(16), 12 * heads + 12 * mine + 12 * n + 8 * m, "zstd")
-            h, mw = np.frombuffer(raw, np.uint64, heads), np.frombuffer(raw, np.uint64, mine, 8 * heads)
-            fan, mc, at, nt, k, doc, times = np.split(np.frombuffer(raw, np.uint32, offset=8 * (heads + mine)), np.cumsum([heads, mine, n, n, n, m]))
+            raw = pa.decompress(buf.slice(16), 10 * heads + 10 * mine + 12 * n + 8 * m, "zstd")
+            h, mw = unshort(raw, heads, 0), unshort(raw, mine, 6 * heads)
+            fan, mc, at, nt, k, doc, times = np.split(np.frombuffer(raw, np.uint32, offset=6 * (heads + mine)), np.cumsum([heads, mine, n, n, n, m]))
             for c, v in zip(cols, [np.repeat(h, fan), mw[at], mc[at], nt, k, doc, times, np.full(n, row, np.int32)]):
                 c.append(v)
         h, w, cw, nt, k, doc, times, row = (np.concatenate(c) for c in cols)
         order = np.lexsort((w, h))
-        value, (hx, hd, hs), unseen = pair_scores(model, h[order], w[order], cw[order].astype(np.int64), nt[order].astype(np.int64), hot, hot_c)
+        value, (hx, hd, hs), unseen = pair_scores(model, h[order], w[order], cw[order].astype(np.int64), nt[order].astype(np.int64), hot_short, hot_short_c)
         back = np.empty(len(order), np.int64)
         back[order] = np.arange(len(order))
         value, unseen = value[back], unseen[back]
@@ -330,7 +346,7 @@ def katz_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     drop_staged(counted)
     alpha = np.zeros(len(hot))
     for r in parts.where("kind = 3").groupBy("x").agg(F.sum("d").alias("d"), F.sum("s").alias("s")).collect():
-        alpha[r["x"]] = np.log10(max(1 - r["d"], 1e-12) / max(1 - r["s"], 1e-12)) if hot_c[r["x"]] else 0.0
+        alpha[r["x"]] = np.log10(max(1 - r["d"], 1e-12) / max(1 - r["s"], 1e-12)) if hot_short_c[r["x"]] else 0.0
 
     def gather(t: pa.Table) -> pa.Table:
         kind = t.column("kind").to_numpy()
