@@ -165,15 +165,19 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
 def with_contamination(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", rate: float = RATE) -> DataFrame:
     """``docs`` with ``_hits``: the number of items found in the text (0 for null and blank texts)."""
     spark = docs.sparkSession
-    total = F.lit(0)
-    for block in item_blocks(items, item_id, item_text):
-        shared, ready = spark.sparkContext.broadcast(block), []
+
+    def hits_of(shared):
+        ready = []
 
         @F.arrow_udf("int")
-        def hits(texts: pa.Array, shared=shared, ready=ready) -> pa.Array:
+        def hits(texts: pa.Array) -> pa.Array:
             if not ready:
                 ready.append(Matcher(shared.value, rate))
             return pa.array([sum(1 for _ in ready[0].search(t.as_py())) for t in texts], pa.int32())
 
-        total = total + hits(F.col(text_col))
+        return hits(F.col(text_col))
+
+    total = F.lit(0)
+    for block in item_blocks(items, item_id, item_text):
+        total = total + hits_of(spark.sparkContext.broadcast(block))
     return docs.withColumn("_hits", total)
