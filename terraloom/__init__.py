@@ -1 +1,10 @@
-"""Spark-native disaster-resilience analytics: DataFrame operators, sources, functions and query plans."""
+"""Spark-native disaster-resilience analytics: DataFrame operators, sources, functions and query plans.
+
+Functions of this package travel to the Python workers by value, so executors need no copy of it.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
