@@ -10,7 +10,8 @@ history's distribution sum to one exactly:
 
 Counts live in hash-partitioned tables (buckets): words by word, pairs by their history, so that a bucket
 has all that alpha(h) needs. Histories with at least 1/HOT_PARTS of all tokens (at most HOT_PARTS of them)
-are spread over all buckets by their second word and their weights are summed up afterwards. Texts are never
+are spread over all buckets by their second word and their weights are summed up afterwards; these, and the
+start of a text, keep one count for the unseen (c(h) + 1 in place of c(h)), so something is always left. Texts are never
 moved row by row: batches of a few MB ask the word buckets for the counts of their distinct words, then send
 their distinct pairs, each with the list of its texts, to the pair buckets, which return one partial
 log-probability per text.
@@ -119,7 +120,7 @@ def pair_scores(m: Model, h: np.ndarray, w: np.ndarray, cw: np.ndarray, n: np.nd
     k = np.minimum(np.searchsorted(hot, hp[first]), max(len(hot) - 1, 0))
     is_hot = (hot[k] == hp[first]) if len(hot) else np.zeros(len(first), bool)
     if len(hot):
-        ch = np.where(is_hot, hot_c[k], ch)
+        ch = np.where(is_hot, hot_c[k] + 1, ch)
     mass = m.discounted(c, m.d2) / np.maximum(ch, 1)[hist]
     seen = c > 0
     d = np.add.reduceat(mass, first)
