@@ -33,7 +33,7 @@ N = 5
 SAMPLE, FREQUENT = 10_000, 4
 SLICE_BYTES = 8 << 20
 FILTER_BITS = 24
-BINS = 256
+BINS = 1024
 #: Members of a candidate group compared at once with as many others.
 BLOCK = 512
 _C = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -228,10 +228,10 @@ def bounded(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
     below the intersection, so a pair is dropped only if its sets cannot be similar enough."""
     def bound(batches):
         for batch in batches:
-            x = np.frombuffer(b"".join(batch.column("pa").to_pylist()), np.uint16).reshape(-1, BINS).astype(np.int32)
-            y = np.frombuffer(b"".join(batch.column("pb").to_pylist()), np.uint16).reshape(-1, BINS).astype(np.int32)
+            x = np.frombuffer(b"".join(batch.column("pa").to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int32)
+            y = np.frombuffer(b"".join(batch.column("pb").to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int32)
             both = np.minimum(x, y).sum(1)
-            full = (x == 65535).any(1) | (y == 65535).any(1)
+            full = (x == 255).any(1) | (y == 255).any(1)
             yield batch.select(["a", "b"]).filter(pa.array(full | (100 * both >= percent * (x.sum(1) + y.sum(1) - both))))
 
     j = pairs.join(profiles.select(F.col("fp").alias("b"), F.col("profile").alias("pb")), "b")
@@ -358,7 +358,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         def profiles_of(batches):
             for batch in sets_of(batches, bitmap.value):
                 sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("shingles")]
-                rows = [np.minimum(np.bincount((x >> np.uint64(56)).astype(np.int64), minlength=BINS), 65535).astype(np.uint16).tobytes() for x in sets]
+                rows = [np.minimum(np.bincount((x >> np.uint64(54)).astype(np.int64), minlength=BINS), 255).astype(np.uint8).tobytes() for x in sets]
                 slack = signatures(np.concatenate(sets), np.array([len(x) for x in sets]), *frequent.value, percent, plan)[2] if sets else np.zeros((0, 2), np.int64)
                 yield pa.RecordBatch.from_arrays([batch.column("fp"), pa.array(rows, pa.binary()), pa.array(slack[:, 0]), pa.array(slack[:, 1])], ["fp", "profile", "own", "visit"])
 
@@ -414,9 +414,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         key = np.stack([gid, lo, hi])[:, order]
         cut = np.r_[np.flatnonzero(np.r_[True, (key[:, 1:] != key[:, :-1]).any(0)]), len(order)]
         fp, of, probe = t.column("fp").to_numpy(), t.column("component").to_numpy(), t.column("probing").to_numpy(zero_copy_only=False)
-        prof = np.frombuffer(b"".join(t.column("profile").to_pylist()), np.uint16).reshape(-1, BINS)
+        prof = np.frombuffer(b"".join(t.column("profile").to_pylist()), np.uint8).reshape(-1, BINS)
         size = prof.sum(1, dtype=np.int64)
-        full = (prof == 65535).any(1)
+        full = (prof == 255).any(1)
         out = []
         for c0, c1 in zip(cut, cut[1:]):
             rows = order[c0:c1]
