@@ -7,6 +7,7 @@ import math
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: GRS80 / CGCS2000 ellipsoid and the regional equal-area projection (fixed values).
 A, INV_F = 6378137.0, 298.257222101
@@ -148,7 +149,7 @@ def _clipped_area(xs: list[float], ys: list[float], box: tuple[float, float, flo
     return abs(sum(p[0] * q[1] - q[0] * p[1] for p, q in zip(ring, ring[1:] + ring[:1]))) / 2
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def clipped_area(xs: pd.Series, ys: pd.Series, x0: pd.Series, y0: pd.Series, x1: pd.Series, y1: pd.Series) -> pd.Series:
     """Area of each ring within its box; no built-in expression clips polygons."""
     return pd.Series([_clipped_area(list(a), list(b), (c, d, e, f)) for a, b, c, d, e, f in zip(xs, ys, x0, y0, x1, y1)])

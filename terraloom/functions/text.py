@@ -12,6 +12,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from terraloom.operators.projection import ladder
 
@@ -25,7 +26,7 @@ def narrow(x: Column) -> Column:
     return F.translate(x, WIDE, NARROW)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfkc(x: pd.Series) -> pd.Series:
     """Exact NFKC."""
     return x.map(lambda v: None if v is None else unicodedata.normalize("NFKC", v))
@@ -221,7 +222,7 @@ def match_name(x: Column) -> Column:
     return F.regexp_replace(F.lower(narrow(F.coalesce(x, F.lit("")))), "[\\s·•,，.。()（）\\[\\]【】\\-_—/\\\\]", "")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp ratio of two names."""
     return pd.Series([SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b)])

@@ -12,7 +12,8 @@ from terraloom.operators import projection as P
 from terraloom.operators import windows as W
 from terraloom.plans.registry import query
 
-YEAR = F.year("o_orderdate")
+def order_year():
+    return F.year("o_orderdate")
 
 
 @query("prj_01_declared_order", "SELECT n_name, n_nationkey::BIGINT AS n_nationkey, NULL::VARCHAR AS note FROM nation")
@@ -144,7 +145,7 @@ def _(t):
 def _(t):
     n = t.nation.where("n_regionkey = 2")
     c = t.customer.join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left_semi")
-    return t.orders.join(c, F.col("o_custkey") == F.col("c_custkey"), "left_semi").select(YEAR.alias("y"), "o_orderkey")
+    return t.orders.join(c, F.col("o_custkey") == F.col("c_custkey"), "left_semi").select(order_year().alias("y"), "o_orderkey")
 
 
 @query("jn_05_set_difference", "SELECT p_partkey FROM part EXCEPT SELECT l_partkey FROM lineitem")
@@ -196,7 +197,7 @@ c AS (SELECT y, CASE WHEN y BETWEEN 1995 AND 2001 THEN 'available' ELSE 'missing
 @query("jn_18_coverage_calendar", f"{CALENDAR} SELECT y, status, CASE WHEN status = 'available' THEN coalesce(n, 0)::BIGINT END AS n FROM c LEFT JOIN f USING (y)")
 def _(t):
     cal = t.spark.range(1994, 2004).select(F.col("id").cast("int").alias("y")).withColumn("status", F.when(F.col("y").between(1995, 2001), "available").otherwise("missing"))
-    f = t.orders.where(F.col("o_orderpriority").startswith("1")).groupBy(YEAR.alias("y")).agg(F.count("*").alias("n"))
+    f = t.orders.where(F.col("o_orderpriority").startswith("1")).groupBy(order_year().alias("y")).agg(F.count("*").alias("n"))
     return cal.join(f, "y", "left").withColumn("n", F.when(F.col("status") == "available", F.coalesce("n", F.lit(0))))
 
 
@@ -357,7 +358,7 @@ def _(t):
 
 @query("ag_25_presence", "SELECT c_custkey, min(year(o_orderdate))::INT AS first_year, max(year(o_orderdate))::INT AS last_year, count(DISTINCT year(o_orderdate)) AS years FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1")
 def _(t):
-    j = t.customer.select("c_custkey").join(t.orders.select(F.col("o_custkey").alias("c_custkey"), YEAR.alias("y")), "c_custkey", "left")
+    j = t.customer.select("c_custkey").join(t.orders.select(F.col("o_custkey").alias("c_custkey"), order_year().alias("y")), "c_custkey", "left")
     return j.groupBy("c_custkey").agg(F.min("y").alias("first_year"), F.max("y").alias("last_year"), F.countDistinct("y").alias("years"))
 
 

@@ -82,12 +82,16 @@ def _(t):
 
 
 NAMES = ["南宁粮食储备库", "甲农产品批发市场", "某蔬菜稳产保供基地", "乙超市", "丙配送有限公司", "无名"]
-PICK = F.element_at(F.array(*[F.lit(x) for x in NAMES]), (F.col("s_suppkey") % 6 + 1).cast("int"))
+
+
+def pick():
+    """One of NAMES for each supplier."""
+    return F.element_at(F.array(*[F.lit(x) for x in NAMES]), (F.col("s_suppkey") % 6 + 1).cast("int"))
 
 
 @query("st_12_entity_type", "SELECT s_suppkey, (['physical_site', 'market', 'base', 'outlet', 'organization', 'unknown'])[(s_suppkey % 6 + 1)::INT] AS kind FROM supplier")
 def _(t):
-    return t.supplier.select("s_suppkey", X.entity_type(PICK, F.lit("")).alias("kind"))
+    return t.supplier.select("s_suppkey", X.entity_type(pick(), F.lit("")).alias("kind"))
 
 
 @query("st_11_16_levels", """SELECT s_suppkey, CASE s_suppkey % 4 WHEN 0 THEN 'primary' WHEN 1 THEN 'secondary' WHEN 2 THEN 'reserve' ELSE 'external' END AS priority,
@@ -97,12 +101,12 @@ def _(t):
     city = F.when(k % 4 == 0, "南宁市").when(k % 4 == 1, "柳州市").otherwise("x")
     province = F.when(k % 4 == 2, "广西壮族自治区").otherwise("y")
     cat = F.when(k % 3 == 0, "cold_chain").when(k % 3 == 1, "grain_storage").otherwise("government_procurement")
-    return t.supplier.select("s_suppkey", X.analysis_priority(province, city).alias("priority"), X.evidence_level(cat, F.lit("x"), PICK).alias("level"))
+    return t.supplier.select("s_suppkey", X.analysis_priority(province, city).alias("priority"), X.evidence_level(cat, F.lit("x"), pick()).alias("level"))
 
 
 @query("st_14_15_flags", "SELECT s_suppkey, s_suppkey % 6 = 0 AS grain, s_suppkey % 6 = 2 AS vegetable, s_suppkey % 6 = 2 AS fresh_food, s_suppkey % 6 = 0 AS storage_capability, s_suppkey % 6 = 4 AS distribution_capability, s_suppkey % 6 = 3 AS retail_capability FROM supplier")
 def _(t):
-    f, c = X.product_flags(PICK), X.capability_flags(PICK, F.lit(""))
+    f, c = X.product_flags(pick()), X.capability_flags(pick(), F.lit(""))
     return t.supplier.select("s_suppkey", *[f[k].alias(k) for k in ("grain", "vegetable", "fresh_food")], *[c[k].alias(k) for k in ("storage_capability", "distribution_capability", "retail_capability")])
 
 
