@@ -7,7 +7,7 @@ from difflib import SequenceMatcher
 from pyspark.sql import functions as F
 
 from terraloom.functions import geo, text
-from terraloom.operators import impact, raster, ranking
+from terraloom.operators import impact, ranking, raster, windows
 from terraloom.sources import readers, writers
 
 
@@ -77,3 +77,27 @@ def test_sources_and_sinks(spark, tmp_path):
     assert writers.verified_write(spark.range(10), str(tmp_path / "out"), "id").first().ok
     (tmp_path / "b.zip").write_bytes(b"no archive")
     assert readers.zip_members(spark, str(tmp_path / "b.zip")).first().error
+
+
+def test_published_values(spark):
+    """Golden values: projection, datum inverse with its grid cell, stable id, allocation, back-fill."""
+    x, y = geo.albers(F.lit(108.3208405), F.lit(22.8247514))
+    r = one(spark, x.alias("x"), y.alias("y"))
+    assert abs(r.x - 7093.031843) < 1e-3 and abs(r.y + 97257.867942) < 1e-3
+    u = one(spark, geo.unshifted(F.lit(108.388866), F.lit(22.686831)).alias("u")).u
+    assert (round(u.lon, 8), round(u.lat, 8)) == (108.38478154, 22.68953682)
+    px, py = geo.albers(F.lit(u.lon), F.lit(u.lat))
+    assert one(spark, geo.grid_id(px, py))[0] == "GX1K_R000187_C000413"
+    assert one(spark, text.stable_id("cand", F.lit("name:南宁市储备粮管理有限责任公司五象粮库:physical_site")))[0] == "cand_88f87be3136e6cd7"
+    shelter = spark.createDataFrame([("s", 1, 13321)], "shelter string, o int, need int")
+    got, left = windows.allocate(F.col("need"), F.lit(200000), "shelter", "o")
+    r = shelter.select(got.alias("got"), left.alias("left")).first()
+    assert (r.got, r["left"]) == (13321, 186679)
+    levels = spark.createDataFrame([("a", 1, None, None), ("a", 2, 76.863, 0.337)], "st string, d int, level double, change double")
+    assert abs(levels.select(windows.backfilled("level", "change", "st", "d").alias("v"), "d").where("d = 1").first().v - 76.526) < 1e-9
+
+
+def test_tied_ranks(spark):
+    """Twelve districts of which eight have nothing share the last rank."""
+    df = spark.createDataFrame([(i, *[float(max(0, 4 - i))] * 6) for i in range(12)], "k int, " + ", ".join(f"{c} double" for c in impact.WEIGHTS))
+    assert [r["rank"] for r in impact.priority(df).orderBy("rank", "k").collect()] == [1, 2, 3, 4] + [5] * 8
