@@ -32,6 +32,8 @@ N = 5
 #: Sample of texts for the frequency estimate, and the sampled sets from which a shingle counts as frequent.
 SAMPLE, FREQUENT = 10_000, 4
 SLICE_BYTES = 8 << 20
+#: Shingles whose signatures share a bucket: a bucket stays as small when the input grows and the partitions do not.
+BUCKET_SHINGLES = 4_000_000
 FILTER_BITS = 24
 BINS = 1024
 #: Members of a candidate group compared at once with as many others.
@@ -275,7 +277,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     id_type = d.schema["doc_id"].dataType.simpleString()
     known = staged(d.mapInArrow(describe, f"doc_id {id_type}, n_shingles long, fp long"), "known")
-    rows = known.count()
+    rows, shingles = known.agg(F.count("*"), F.coalesce(F.sum("n_shingles"), F.lit(0))).first()
 
     # frequent shingles of a bounded sample of different sets
     drawn = F.pmod(F.xxhash64(F.lit("jaccard"), F.col("doc_id").cast("string"), F.length("text")), F.lit(1 << 30)) < min(1.0, SAMPLE / max(rows, 1)) * (1 << 30)
@@ -302,7 +304,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     order = np.argsort(hot_h)
     frequent = spark.sparkContext.broadcast((hot_h[order], hot.column("n").to_numpy()[order]))
 
-    buckets = 2 * partitions(spark)
+    buckets = max(2 * partitions(spark), shingles // BUCKET_SHINGLES)
 
     def index(batches):
         for batch in batches:

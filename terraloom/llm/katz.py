@@ -31,6 +31,8 @@ from terraloom.llm.tokens import mix64, per_text, segment_sums, text_slices, wor
 K = 5
 HOT_PARTS = 2000
 SLICE_BYTES = 8 << 20
+#: Bytes of text whose counts share a bucket: a bucket stays as small when the input grows and the partitions do not.
+BUCKET_BYTES = 32 << 20
 LOW = np.uint64(0xFFFFFFFFFFFF)
 END, START = np.uint64(0x454E44454E44454E), np.uint64(0x5354415254535441)
 _C = np.uint64(0x9E3779B97F4A7C15)
@@ -146,7 +148,8 @@ def katz_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     spark = docs.sparkSession
     d = docs.select(F.col(id_col).alias("doc_id"), held_out.alias("held"), F.col(text_col).alias("text"))
     id_type = d.schema["doc_id"].dataType.simpleString()
-    buckets = 2 * partitions(spark)
+    size = d.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    buckets = max(2 * partitions(spark), size // BUCKET_BYTES)
 
     def slices(batches):
         """(number of the slice in the whole input, rows, bytes, offsets): the same at each pass and retry."""
