@@ -31,7 +31,7 @@ from terraloom.llm.tokens import mix64, per_text, text_slices, word_hashes, word
 N = 5
 #: Sample of texts for the frequency estimate, and the sampled sets from which a shingle counts as frequent.
 SAMPLE, FREQUENT = 10_000, 4
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 #: Shingles whose signatures share a bucket: a bucket stays as small when the input grows and the partitions do not.
 BUCKET_SHINGLES = 4_000_000
 FILTER_BITS = 24
