@@ -13,7 +13,7 @@ from terraloom.llm.decontam import contaminated
 from terraloom.llm.embeddings import near_duplicates
 from terraloom.llm.jaccard import jaccard_components
 from terraloom.llm.katz import katz_scores
-from terraloom.llm.line_dedup import dedup_pages
+from terraloom.llm.line_dedup import dedup_pages, dedup_shared
 from terraloom.llm.mixing import mix_sources
 from terraloom.llm.secrets import secret_digests
 
@@ -68,6 +68,11 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "host", "n_lines", "n_dropped", F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
+def op9_line_dedup_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = dedup_shared(table(spark, sf_dir, "pages"))
+    return out.select("page_id", "host", "n_lines", "n_dropped", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 

@@ -292,6 +292,31 @@ def test_line_dedup(spark):
     assert line_dedup.dedup_pages(df.where("false")).count() == 0
 
 
+def shared_by_hand(data, ratio, prior=line_dedup.PRIOR):
+    """{(host, line)} over the pooled ratio; ``data`` has (host, lines) of each page."""
+    pages, n, total = Counter(h for h, _ in data), Counter(), Counter()
+    for h, ls in data:
+        for x in {x for x in ls if x.strip(" ")}:
+            n[h, x] += 1
+            total[x] += 1
+    return {(h, x) for (h, x), k in n.items() if k + prior * total[x] / (len(data) + prior) > ratio(x) * (pages[h] + prior)}
+
+
+def test_shared_lines_of_pages(spark):
+    rng = random.Random(3)
+    foot, word = "All rights reserved by the editors.", "de"
+    data = []
+    for i in range(600):
+        blocks = [f"body of page {i}"] + [foot] * (rng.random() < 0.12) + [word] * (rng.random() < 0.1) + ["Home"] * (i % 4 == 0 and i % 5 < 3)
+        data.append((i, f"http://h{i % 4}.example" if i < 560 else f"http://small{i % 8}.example", blocks))
+    df = spark.createDataFrame([(i, u, "<p>".join(b)) for i, u, b in data], "page_id long, url string, html string")
+    out = shared_by_hand([(u, b) for _, u, b in data], lambda x: line_dedup.SHORT_RATIO if len(x) < line_dedup.SHORT else line_dedup.SHARED)
+    got = {r.page_id: r.text for r in line_dedup.dedup_shared(df).collect()}
+    assert got == {i: "\n".join(x for x in b if (u, x) not in out) for i, u, b in data}
+    assert not any(foot in t for t in got.values()) and any(word in t.split("\n") for t in got.values())
+    assert "Home" not in "".join(t for i, t in got.items() if i < 560 and i % 4 == 0)
+
+
 def edit_anywhere(item, text):
     row = [0] * (len(text) + 1)
     for i, c in enumerate(item, 1):
