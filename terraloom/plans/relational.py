@@ -153,17 +153,27 @@ def _(t):
     return t.part.join(t.lineitem, F.col("p_partkey") == F.col("l_partkey"), "left_anti").select("p_partkey")
 
 
-@query("jn_06_name_or_alias", """SELECT c_custkey, coalesce(a.s_suppkey, b.s_suppkey) AS s_suppkey FROM customer
-LEFT JOIN supplier a ON a.s_suppkey = c_custkey * 3 AND c_custkey % 2 = 0 LEFT JOIN supplier b ON b.s_suppkey = c_custkey WHERE c_custkey <= 200""")
-def _(t):
+def name_or_alias(t, customers):
     s = t.supplier.select("s_suppkey")
-    c = t.customer.where("c_custkey <= 200").select("c_custkey")
+    c = customers.select("c_custkey")
     by_name = J.sized(s.select((F.col("s_suppkey")).alias("key"), F.col("s_suppkey").alias("by_name")))
     by_alias = J.sized(s.select(F.col("s_suppkey").alias("c_custkey"), F.col("s_suppkey").alias("by_alias")))
     c = c.withColumn("key", F.when(F.col("c_custkey") % 2 == 0, F.col("c_custkey") * 3))
     return c.join(by_name, "key", "left").join(by_alias, "c_custkey", "left").select("c_custkey", F.coalesce("by_name", "by_alias").alias("s_suppkey"))
 
 
+@query("jn_06_name_or_alias", """SELECT c_custkey, coalesce(a.s_suppkey, b.s_suppkey) AS s_suppkey FROM customer
+LEFT JOIN supplier a ON a.s_suppkey = c_custkey * 3 AND c_custkey % 2 = 0 LEFT JOIN supplier b ON b.s_suppkey = c_custkey WHERE c_custkey <= 200""")
+def _(t):
+    return name_or_alias(t, t.customer.where("c_custkey <= 200"))
+
+
+@query("jn_06_name_or_alias_whole", """SELECT c_custkey, coalesce(a.s_suppkey, b.s_suppkey) AS s_suppkey FROM customer
+LEFT JOIN supplier a ON a.s_suppkey = c_custkey * 3 AND c_custkey % 2 = 0 LEFT JOIN supplier b ON b.s_suppkey = c_custkey""")
+def _(t):
+    return name_or_alias(t, t.customer)
+
+
 @query("jn_07_list_key_chain", """WITH x AS (SELECT o_orderkey, unnest(string_split(concat_ws(';', o_custkey::VARCHAR, (o_custkey + 100000)::VARCHAR), ';'))::BIGINT AS k FROM orders)
 SELECT o_orderkey, k AS missing FROM x WHERE k NOT IN (SELECT c_custkey FROM customer)""")
 def _(t):
@@ -459,9 +469,18 @@ def _(t):
     return d.select("o_orderkey", got.alias("allocated"), left.alias("remaining"))
 
 
+def mixed_sort(lines):
+    return lines.select("l_orderkey", "l_linenumber", "l_quantity").orderBy(F.desc("l_quantity"), F.asc("l_orderkey"), F.asc("l_linenumber"))
+
+
 @query("so_01_mixed_sort", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_orderkey < 500")
 def _(t):
-    return t.lineitem.where("l_orderkey < 500").select("l_orderkey", "l_linenumber", "l_quantity").orderBy(F.desc("l_quantity"), F.asc("l_orderkey"), F.asc("l_linenumber"))
+    return mixed_sort(t.lineitem.where("l_orderkey < 500"))
+
+
+@query("so_01_mixed_sort_whole", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem")
+def _(t):
+    return mixed_sort(t.lineitem)
 
 
 @query("so_02_computed_sort", "SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'P' THEN 1 ELSE 2 END AS pr FROM orders")
