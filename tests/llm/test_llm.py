@@ -146,6 +146,21 @@ def test_secrets(spark):
     assert secrets.secret_digests(df.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("n", (20, 32, 40))
+def test_secrets_recall_of_random_keys(spark, n):
+    rng = random.Random(n)
+    low, up, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    kinds = {"base64": up + low + digits + "+/", "url": up + low + digits + "-_", "lower": low + digits, "base32": up + "234567", "hex": digits + "ABCDEF"}
+    names = "order_service_config_v2 customerReportIndex2024 src/main/module/page17 SHIPPING-REGION-TABLE-19".split()
+    keys = [(k, "".join(rng.choice(a) for _ in range(n))) for k, a in kinds.items() for _ in range(60)]
+    df = spark.createDataFrame([(i, " ".join(names) + " " + x) for i, (_, x) in enumerate(keys)], "doc_id long, text string").repartition(4)
+    at, found = len(" ".join(names)) + 1, Counter()
+    for r in secrets.scan(df).collect():
+        found[keys[r.doc_id][0]] += any((s.start, s.end) == (at, at + n) for s in [*r.base, *r.added])
+        assert all(s.end > at for s in r.added)  # none of the names
+    assert all(found[k] >= 0.75 * 60 for k in kinds), found
+
+
 def test_pii(spark):
     t = texts()
     df = spark.createDataFrame(list(enumerate(t)), "doc_id long, text string")
