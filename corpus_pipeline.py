@@ -14,7 +14,7 @@ from terraloom.llm import langid
 from terraloom.llm.common import staged
 from terraloom.llm.decontam import with_contamination
 from terraloom.llm.jaccard import jaccard_components
-from terraloom.llm.line_dedup import drop_site_lines
+from terraloom.llm.line_dedup import PRIOR, SHARED, drop_site_lines
 from terraloom.llm.mixing import mix_sources
 
 #: Characters below which a text is not rejected for unknown n-grams.
@@ -33,9 +33,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the lines that over 10 % of their source's documents hold (sources of 50 documents and
-    more); ``n_chars`` follows. A document of which nothing is left goes; null texts stay as they are."""
-    out = drop_site_lines(docs.select(*COLUMNS), F.col("source"), F.split("text", "\n"), max_ratio=0.1, min_pages=50)
+    """Texts without the lines that over 7 % of their source's documents hold, by the ratio pooled with that of
+    all sources; ``n_chars`` follows. A document of which nothing is left goes; null texts stay as they are."""
+    out = drop_site_lines(docs.select(*COLUMNS), F.col("source"), F.split("text", "\n"), max_ratio=SHARED, prior=PRIOR)
     dropped = F.size("_lines") < F.col("_n")
     text = F.when(dropped, F.array_join("_lines", "\n")).otherwise(F.col("text"))
     out = out.withColumn("_text", text).where(F.col("text").isNull() | ~dropped | (F.trim("_text") != ""))

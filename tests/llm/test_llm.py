@@ -332,6 +332,18 @@ def test_shared_lines_of_pages(spark):
     assert "Home" not in "".join(t for i, t in got.items() if i < 560 and i % 4 == 0)
 
 
+@pytest.mark.parametrize("size", (10, 50, 400))
+def test_pipeline_shared_lines(spark, size):
+    import corpus_pipeline as cp
+
+    rng = random.Random(size)
+    data = [(i, "\n".join([f"text {i} of its own"] + ["Shared line of all sources."] * (rng.random() < 0.13) + ["Often said."] * (rng.random() < 0.03)), "en", f"s{i % 20}", 9) for i in range(20 * size)]
+    out = shared_by_hand([(d[3], d[1].split("\n")) for d in data], lambda x: line_dedup.SHARED)
+    got = {r.doc_id: r.text for r in cp.line_dedup(spark, spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long"), "").collect()}
+    assert got == {d[0]: "\n".join(x for x in d[1].split("\n") if (d[3], x) not in out) for d in data}
+    assert not any("Shared line" in t for t in got.values()) and any("Often" in t for t in got.values())
+
+
 def edit_anywhere(item, text):
     row = [0] * (len(text) + 1)
     for i, c in enumerate(item, 1):
