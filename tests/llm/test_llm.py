@@ -171,7 +171,102 @@ def test_pii(spark):
         assert set(filter(None, digest(want).split(","))) <= set(got[i].spans.split(","))
     trees = pii.boost([(0, 0.0, 50.0), (1, 40.0, 50.0), (64, 50.0, 50.0)])
     assert pii.tree_score(trees, 0) < pii.tree_score(trees, 1) < pii.tree_score(trees, 64)
-    assert pii.pii_digests(df.where("false"), [], None).count() == 0
+    assert pii.pii_digests(df.where("false"), *pii.fit(df.where("false"))).count() == 0
+
+
+def test_boosting_step_by_hand():
+    """The first tree: leaf values and score of the best pair of bits, by the definition of a Newton step."""
+    rows = [(0b00, 1.0, 40.0), (0b01, 30.0, 40.0), (0b10, 5.0, 40.0), (0b11, 39.0, 40.0)]
+    base = math.log((75 + 0.5) / (85 + 0.5))
+    q = 1 / (1 + math.exp(-base))
+    leaf = [0.4 * (p - n * q) / (1 + n * q * (1 - q)) for _, p, n in rows]
+    trees = pii.boost(rows, rounds=1)
+    assert trees[0][2] == pytest.approx((base,) * 4) and trees[1][:2] in ((0, 1), (1, 0))
+    for (m, *_), x in zip(rows, leaf):
+        assert pii.tree_score(trees, m) == pytest.approx(base + x)
+
+
+def test_pii_adds_what_resembles_validated_data(spark):
+    """Planted data without a validated format (local numbers, spelled addresses) beside ordinary numbers."""
+    rng = random.Random(3)
+    num = lambda p: "".join(rng.choice("0123456789") if c == "9" else c for c in p)
+    data, planted = [], {}
+    for i in range(1500):
+        out = ""
+        for _ in range(rng.randint(1, 4)):
+            out += " ".join(rng.choice("the of and in order total page see note".split()) for _ in range(5)) + " "
+            hint, kind = rng.choice(["tel ", "phone: ", "call "]), rng.randrange(7)
+            x = [hint + num("+1 (999) 555-9999"), num("(999) 555-9999"), num("order 99999999"), num("2024-99-99 99:99"), "mail: " + num("ann.lee99@host9.org"), num("bob.ray99 [at] host9 [dot] org"), num("build 9999999.999.99")][kind]
+            if kind in (1, 5):
+                out += hint if kind == 1 else "mail: "
+                planted.setdefault(i, []).append((len(out), len(out) + len(x)))
+            out += x + " "
+        data.append((i, out))
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(4)
+    added = {r.doc_id: [(s.start, s.end) for s in r.added] for r in pii.scan(df, *pii.fit(df)).collect()}
+    hits = lambda a, b: any(x[0] < a[1] and a[0] < x[1] for x in b)
+    found = [hits(p, added[i]) for i, ps in planted.items() for p in ps]
+    good = [hits(a, planted.get(i, [])) for i, xs in added.items() for a in xs]
+    assert np.mean(found) >= 0.75 and np.mean(good) >= 0.95, (np.mean(found), np.mean(good))
+
+
+#: Texts that run long in one way: each must end in seconds, with the base spans of Python's regex.
+LONG = {"digits": "pi 3" + "1" * 200_000, "labels": "a@b" + ".c" * 100_000, "blanks": "1 " * 50_000 + "a", "dots": "1." * 1500, "plus": "+1" + " " * 100_000 + "+12 345 678 90", "address": "a" * 100_000 + "@b.c", "phones": "call +1 (632) 555-4827 " * 1500}
+
+
+def test_scans_of_long_texts(spark):
+    b64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    rng = random.Random(8)
+    long = LONG | {"token": "x " + "".join(rng.choice(b64) for _ in range(200_000)) + " y", "keys": "password=abcdefgh1 " * 3000, "hex": "ab12" * 30_000}
+    df = spark.createDataFrame([(i, x, 1, 2) for i, x in enumerate(long.values())], "doc_id long, text string, base int, found int").repartition(4)  # clashing names
+    got, found = {r.doc_id: r for r in pii.pii_digests(df, [], None).collect()}, {r.doc_id: r for r in secrets.secret_digests(df).collect()}
+    for i, (name, x) in enumerate(long.items()):
+        if name in ("labels", "dots", "phones", "keys"):  # on the others Python's own matching is quadratic
+            want = sorted(brute_spans(PII, x), key=lambda s: (s[2], s[0]))
+            assert got[i].base_sha256 == hashlib.sha256(digest(want).encode()).hexdigest(), name
+        assert found[i].base_sha256 == hashlib.sha256(digest(sorted(brute_spans(SECRETS, x))).encode()).hexdigest(), name
+    names = list(long)
+    assert got[names.index("address")].n_email == 1 and got[names.index("plus")].n_phone == 1 and got[names.index("blanks")].n_card == 0
+    assert got[names.index("digits")].spans == "" and got[names.index("hex")].spans == ""
+    assert found[names.index("token")].spans == "random:2:200002"
+
+
+def test_scans_of_repeated_rows(spark):
+    df = spark.createDataFrame([(1, "token=abcdefgh +12 345 678 90")] * 2 + [(None, None)], "doc_id long, text string")
+    for out in (secrets.secret_digests(df), pii.pii_digests(df, [], None)):
+        got = [tuple(r) for r in out.collect()]
+        assert len(got) == 3 and got[0] == got[1] and got[2][0] is None and got[2][-1] == ""
+
+
+def battery(token, alphabet):
+    """Least of the three p-values times three, by their definitions."""
+    at = np.array([alphabet.index(c) + 1 for c in token], float)
+    n, a = len(at), len(alphabet)
+    chi = sum((c - n / a) ** 2 / (n / a) for c in (token.count(x) for x in alphabet))
+    steps = 200_000  # the chi-squared tail by integration of its density over the body
+    x = np.linspace(0, chi, steps + 1)[1:] - chi / steps / 2
+    k = a - 1
+    tail = 1 - (np.exp((k / 2 - 1) * np.log(x) - x / 2 - math.lgamma(k / 2) - k / 2 * math.log(2)) * chi / steps).sum()
+    two = lambda z: math.erfc(abs(z) / math.sqrt(2))
+    high = at > a / 2
+    ups, runs = high.sum(), 1 + (high[1:] != high[:-1]).sum()
+    mean = 2 * ups * (n - ups) / n + 1
+    d = at - at.mean()
+    return min(1, 3 * min(tail, two((runs - mean) / math.sqrt(max((mean - 1) * (mean - 2) / (n - 1), 1e-6))), two((d[1:] * d[:-1]).sum() / (d * d).sum() * math.sqrt(n))))
+
+
+def test_randomness_battery(spark):
+    rng = random.Random(21)
+    low, up, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    tokens = [("".join(rng.choice(a) for _ in range(n)), a) for a in (digits + "abcdef", digits + "ABCDEF", digits + low, up + low + digits + "+/") for n in (21, 40, 90)]
+    tokens += [("customerReportIndex2024x" * 2, up + low + digits + "+/"), ("0000000000abcdef1111", digits + "abcdef"), ("ab" * 20 + "1", digits + "abcdef")]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(tokens)], "i long, text string")
+    span = F.struct(F.lit(0).cast("bigint").alias("start"), F.length("text").cast("bigint").alias("end"), F.lit(3).alias("rank"), F.lit("random").alias("kind"), "text", F.lit("").alias("before"))
+    got = {r.i: r.r for r in df.select("i", secrets.randomness(span).alias("r")).collect()}
+    for i, (t, a) in enumerate(tokens):
+        assert got[i].n == len(t) and got[i].p_random == pytest.approx(battery(t, a), rel=1e-4, abs=1e-9), t
+    q = spark.createDataFrame([([0.001, 0.2, 0.03, 0.9],), ([0.5],), ([],)], "p array<double>").select(secrets.discoveries(F.col("p"), 0.1).alias("c")).collect()
+    assert [r.c for r in q] == [0.03, None, None]
 
 
 def test_embeddings(spark):
@@ -196,21 +291,46 @@ def test_embeddings(spark):
     assert embeddings.near_duplicates(df.where("false")).count() == 0
 
 
-def test_spill_trees_hold_near_pairs():
-    rng = np.random.default_rng(4)
-    x = rng.normal(size=(3000, 64))
-    x[1500:] = x[:1500] + rng.normal(scale=0.25, size=(1500, 64)) * np.linalg.norm(x[:1500], axis=1, keepdims=True) / 8
+def links_by_hand(data, threshold=0.93):
+    """(links, component) of each row of (id, vector, label) with fine vectors; components by position."""
+    x = np.array([d[1] for d in data])
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    near = np.flatnonzero((x[:1500] * x[1500:]).sum(1) >= 0.93)
-    met = np.zeros(len(near), bool)
-    dirs = embeddings.directions(64, 4, embeddings.TREES)
-    for k in range(embeddings.TREES):
-        row, leaf = embeddings.leaves_of(x, dirs[k], embeddings.fit_tree(x, dirs[k], 4), 4)
-        where = defaultdict(set)
-        for r, l in zip(row, leaf):
-            where[r].add(l)
-        met |= np.array([bool(where[i] & where[i + 1500]) for i in near])
-    assert len(near) > 100 and met.mean() >= 0.97
+    label = np.array([d[2] for d in data])
+    link = (x @ x.T >= threshold) & (label[:, None] == label)
+    np.fill_diagonal(link, False)
+    comp = np.arange(len(data))
+    while True:
+        nxt = np.array([min(comp[i], comp[link[i]].min()) if link[i].any() else comp[i] for i in range(len(data))])
+        if (nxt == comp).all():
+            return link.sum(1), comp
+        comp = nxt
+
+
+@pytest.mark.parametrize("kw", [{}, dict(leaf_size=40, sample=640, part=64), dict(leaf_size=20, sample=64, part=5000)])
+def test_embeddings_over_many_leaves(spark, kw):
+    """Several leaves, rounds of splits, a dense cluster in pairs of blocks, copies, and a column of a clashing name."""
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(700, 24))
+    dense = rng.normal(size=24) + rng.normal(scale=0.05, size=(200, 24))
+    v = np.concatenate([base, base[:300] + rng.normal(scale=0.2, size=(300, 24)), dense, base[:20]])
+    data = [(i, x.tolist(), "x" if i % 3 else "y") for i, x in enumerate(v)]
+    df = spark.createDataFrame([(*d, 5) for d in data], "vec_id long, embedding array<double>, label string, node int").repartition(4)
+    got = {r.vec_id: r for r in embeddings.near_duplicates(df, **kw).collect()}
+    links, comp = links_by_hand(data)
+    assert all(got[i].n_links <= links[i] for i in range(len(v)))  # nothing counts twice or below the threshold
+    assert sum(got[i].n_links for i in range(len(v))) >= 0.98 * links.sum()
+    assert sum(got[i].component_id == comp[i] for i in range(len(v))) >= 0.98 * len(v)
+
+
+def test_embeddings_ids_and_scales(spark):
+    """Null ids, and components whose squares overflow or vanish."""
+    a, b = [1.0, 0.0, 0.2], [0.0, 1.0, 0.0]
+    big, tiny = [x * 1e200 for x in a], [x * 1e-200 for x in a]
+    df = spark.createDataFrame([(1, a, 0), (2, [1.0, 0.01, 0.2], 0), (None, [1.0, 0.02, 0.2], 0), (4, big, 0), (5, tiny, 0), (None, b, 0), (7, [-0.0, 1.0, 0.0], 0)], "vec_id long, embedding array<double>, label int")
+    got = sorted(map(tuple, embeddings.near_duplicates(df).collect()), key=str)
+    assert got == sorted([(1, 4, 1, True), (2, 4, 1, False), (None, 4, 1, False), (4, 4, 1, False), (5, 4, 1, False), (None, 1, 7, False), (7, 1, 7, True)], key=str)
+    lone = spark.createDataFrame([(None, a, 0)], "vec_id long, embedding array<double>, label int")
+    assert [tuple(r) for r in embeddings.near_duplicates(lone).collect()] == [(None, 0, None, True)]
 
 
 def test_language(docs, none):
