@@ -2,7 +2,8 @@
 
 Learned filters of WIDTH bytes slide over the text with a stride of STRIDE; their outputs are max-pooled in
 half-overlapping chunks of CHUNK bytes that cover the whole document; a hidden layer reads each chunk; its
-outputs are pooled over the chunks (maximum and mean) and combined into one probability.
+outputs are pooled over the chunks (maximum and mean) and combined into one probability. Maxima weigh against
+quality only: a chunk that would score lower than a text alone then lowers the text it is added to, wherever it is.
 """
 
 from __future__ import annotations
@@ -18,21 +19,29 @@ from terraloom.llm.tokens import text_slices
 
 WIDTH, STRIDE, HALF, FILTERS, HIDDEN = 6, 2, 256, 24, 16
 CHUNK = 2 * HALF
+LEAD = WIDTH - STRIDE
 #: Bounds of the fitting sample: texts and bytes of text on the driver.
 SAMPLE_DOCS, SAMPLE_BYTES = 4000, 32 << 20
 EPOCHS, BATCH_BYTES, RATE, SEED = 14, 150_000, 0.01, 11
 
 
 def layout(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Texts padded with zero bytes to whole half-chunks, two at least, and the first half-chunk of each."""
+    """Texts padded with zero bytes to whole half-chunks, two at least, and the first half-chunk of each. The zeros
+    before a text keep the last windows of its predecessor from reading it: a score depends on its text alone."""
     sizes = np.diff(offsets)
-    halves = np.maximum(2, -(-(sizes + WIDTH) // HALF))
+    halves = np.maximum(2, -(-(sizes + LEAD + WIDTH) // HALF))
     first = np.r_[0, np.cumsum(halves)]
     out = np.zeros(first[-1] * HALF + WIDTH, np.uint8)
-    out[np.arange(len(buf)) + np.repeat(first[:-1] * HALF - offsets[:-1], sizes)] = buf
+    out[np.arange(len(buf)) + np.repeat(first[:-1] * HALF + LEAD - offsets[:-1], sizes)] = buf
     return out, first
 
 
+def against(w2: np.ndarray) -> np.ndarray:
+    """``w2`` with no positive weight on a maximum."""
+    w2[:HIDDEN] = np.minimum(w2[:HIDDEN], 0)
+    return w2
+
+
 @dataclass
 class ByteNet:
     conv: np.ndarray  # (WIDTH, 256, FILTERS)
@@ -46,7 +55,7 @@ class ByteNet:
     @classmethod
     def new(cls, rng: np.random.Generator) -> "ByteNet":
         f = np.float32
-        return cls(rng.normal(0, 0.3, (WIDTH, 256, FILTERS)).astype(f), np.zeros(FILTERS, f), rng.normal(0, 0.3, (FILTERS, HIDDEN)).astype(f), np.zeros(HIDDEN, f), rng.normal(0, 0.3, 2 * HIDDEN).astype(f), np.zeros(1, f))
+        return cls(rng.normal(0, 0.3, (WIDTH, 256, FILTERS)).astype(f), np.zeros(FILTERS, f), rng.normal(0, 0.3, (FILTERS, HIDDEN)).astype(f), np.zeros(HIDDEN, f), against(rng.normal(0, 0.3, 2 * HIDDEN).astype(f)), np.zeros(1, f))
 
     def params(self) -> list[np.ndarray]:
         return [self.conv, self.conv_b, self.w1, self.b1, self.w2, self.b2]
@@ -98,7 +107,8 @@ class ByteNet:
         dp = d[:, None] * self.w2
         chunks = np.diff(first) - 1
         doc = np.repeat(np.arange(len(y)), chunks)
-        is_top = z == pooled[doc, :HIDDEN]
+        is_top = (z == pooled[doc, :HIDDEN]).astype(z.dtype)
+        is_top /= np.add.reduceat(is_top, b)[doc]  # chunks alike share the slope of their maximum
         dz = dp[doc, :HIDDEN] * is_top + dp[doc, HIDDEN:] / chunks[doc, None]
         dz *= 1 - z * z
         g1, gb1 = a.T @ dz, dz.sum(0)
@@ -137,6 +147,7 @@ def train(texts: pa.Array, y: np.ndarray, epochs: int = EPOCHS, seed: int = SEED
                 mi += 0.1 * (g - mi)
                 vi += 0.001 * (g * g - vi)
                 p -= (rate * (mi / (1 - 0.9**t)) / (np.sqrt(vi / (1 - 0.999**t)) + 1e-8)).astype(np.float32)
+            against(net.w2)
     return net
 
 
