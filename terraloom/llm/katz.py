@@ -2,17 +2,19 @@
 
 Tokens are words with A-Z lower-cased, and one end token a text. Word and word-pair counts of the training
 texts are discounted by Good-Turing (counts up to K; Katz's form) and backed off with weights that make every
-history's distribution sum to one exactly:
+history's distribution sum to one exactly, by one formula for all histories:
 
-    p(w|h) = d(c(hw)) c(hw) / c(h)   if the pair was seen in training
-           = alpha(h) p(w)           otherwise, with p(w) the discounted word distribution
+    p(w|h) = d(c(hw)) c(hw) / (c(h) + UNSEEN)   if the pair was seen in training
+           = alpha(h) p(w)                      otherwise, with p(w) the discounted word distribution
     p(w)   = d(c(w)) c(w) / N, and the mass that is left for the class of unknown words.
 
+UNSEEN leaves something to back off to where nothing is discounted (a history whose pairs all occur more than
+K times); alpha(h) is what the seen pairs leave over the word mass of the unseen, one for an unknown history.
+
 Counts live in hash-partitioned tables (buckets): words by word, pairs by their history, so that a bucket
 has all that alpha(h) needs. Histories with at least 1/HOT_PARTS of all tokens (at most HOT_PARTS of them)
-are spread over all buckets by their second word and their weights are summed up afterwards; these, and the
-start of a text, keep one count for the unseen (c(h) + 1 in place of c(h)), so something is always left. Texts are never
-moved row by row: batches of a few MB ask the word buckets for the counts of their distinct words, then send
+are spread over all buckets by their second word and their weights are summed up afterwards, which changes no
+probability. Texts are never moved row by row: batches of a few MB ask the word buckets for the counts of their distinct words, then send
 their distinct pairs, each with the list of its texts, to the pair buckets, which return one partial
 log-probability per text.
 """
@@ -29,6 +31,8 @@ from terraloom.llm.common import drop_staged, partitions, release, staged
 from terraloom.llm.tokens import mix64, per_text, segment_sums, text_slices, word_hashes, words
 
 K = 5
+#: Count every history keeps for the unseen.
+UNSEEN = 0.5
 HOT_PARTS = 2000
 SLICE_BYTES = 8 << 20
 #: Bytes of text whose counts share a bucket: a bucket stays as small when the input grows and the partitions do not.
@@ -122,16 +126,12 @@ def pair_scores(m: Model, h: np.ndarray, w: np.ndarray, cw: np.ndarray, n: np.nd
     k = np.minimum(np.searchsorted(hot, hp[first]), max(len(hot) - 1, 0))
     is_hot = (hot[k] == hp[first]) if len(hot) else np.zeros(len(first), bool)
     if len(hot):
-        ch = np.where(is_hot, hot_c[k] + 1, ch)
-    mass = m.discounted(c, m.d2) / np.maximum(ch, 1)[hist]
+        ch = np.where(is_hot, hot_c[k], ch)
+    mass = m.discounted(c, m.d2) / (ch + UNSEEN)[hist]
     seen = c > 0
     d = np.add.reduceat(mass, first)
     s = np.add.reduceat(np.where(seen, pw, 0.0), first)
-    left = 1 - d
-    none = ~is_hot & (ch > 0) & (left < 1e-9)  # nothing was discounted: Witten-Bell's share
-    left = np.where(none, 1 / (ch + 1), left)
-    mass = mass * np.where(none, (1 - left) / np.maximum(d, 1e-300), 1.0)[hist]
-    alpha = np.where(ch > 0, left / np.maximum(1 - s, 1e-12), 1.0)
+    alpha = np.where(ch > 0, (1 - d) / np.maximum(1 - s, 1e-12), 1.0)
     alpha = np.where(is_hot, 1.0, alpha)
     with np.errstate(divide="ignore"):
         value = np.log10(np.where(seen, mass, alpha[hist] * pw))
@@ -170,7 +170,7 @@ def katz_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
             h = np.r_[START, w[:-1]]
             h[start[:-1]] = START
             pair, c = np.unique(mix64(h * _C + w)[train], return_counts=True)
-            order, cut, full2 = by_bucket(((pair >> np.uint64(48)) % np.uint64(buckets)).astype(np.int64), buckets)
+            order, cut, full2 = by_bucket((mix64(pair) % np.uint64(buckets)).astype(np.int64), buckets)
             short = pair.view(np.uint8).reshape(-1, 8)[:, :6]
             out += [short[order[cut[b] : cut[b + 1]]].tobytes() + c[order[cut[b] : cut[b + 1]]].astype(np.uint32).tobytes() for b in full2]
             n = len(full) + len(full2)
