@@ -29,12 +29,16 @@ from terraloom.llm.common import connected_components, drop_staged, partitions,
 from terraloom.llm.tokens import mix64, per_text, text_slices, word_hashes, words
 
 N = 5
-#: Sample of texts for the frequency estimate, and the sampled sets from which a shingle counts as frequent.
-SAMPLE, FREQUENT = 10_000, 4
+#: Texts of the frequency sample: SAMPLE, or one in SAMPLE_SHARE of a larger corpus. A shingle counts as frequent from
+#: FREQUENT sampled sets on; of more than HOT such shingles the most frequent are taken (this moves cost only).
+SAMPLE, SAMPLE_SHARE, FREQUENT, HOT = 10_000, 1000, 4, 1 << 20
 SLICE_BYTES = 4 << 20
 #: Shingles whose signatures share a bucket: a bucket stays as small when the input grows and the partitions do not.
 BUCKET_SHINGLES = 4_000_000
-FILTER_BITS = 24
+#: Least and largest size of a candidate filter, as powers of two of its bits.
+MIN_FILTER_BITS, MAX_FILTER_BITS = 20, 28
+#: Members of a candidate group in one row.
+CHUNK = 8192
 BINS = 1024
 #: Members of a candidate group compared at once with as many others.
 BLOCK = 512
@@ -199,30 +203,26 @@ def unique_sets(text: pa.Array, n: int):
         yield row, sizes, fp, (np.concatenate(parts) if parts else h[:0]), sizes[keep], fp[keep]
 
 
-def _bits(fp: np.ndarray) -> np.ndarray:
-    return (fp.view(np.uint64) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+def _slot(fp: np.ndarray, bits: int) -> np.ndarray:
+    """Place of each fingerprint in a filter of 2^bits bits: its top bits."""
+    return (fp.view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def fixed_filter(ids: DataFrame) -> np.ndarray:
-    """A bitmap of 2^FILTER_BITS bits over the ids' hash bits, ORed slice by slice on the executors: its size
-    does not grow with the data; when full it only lets more through."""
-    def mark(batches):
-        bits = np.zeros(1 << FILTER_BITS, bool)
-        for b in batches:
-            bits[_bits(b.column("fp").to_numpy())] = True
-        packed = np.packbits(bits).reshape(256, -1)
-        on = np.flatnonzero(packed.any(1))
-        yield pa.RecordBatch.from_arrays([pa.array(on.astype(np.int32)), pa.array([packed[i].tobytes() for i in on], pa.binary())], ["part", "bits"])
+def fixed_filter(ids: DataFrame) -> tuple[int, np.ndarray]:
+    """(bits, bitmap of 2^bits bits) over the ids' top bits, ORed by map-side aggregation. It has eight bits an id
+    up to 2^MAX_FILTER_BITS (32 MB); beyond that it only lets more through."""
+    n = ids.count()
+    bits = min(MAX_FILTER_BITS, max(MIN_FILTER_BITS, (8 * n).bit_length()))
+    slot = F.shiftrightunsigned("fp", 64 - bits)
+    rows = ids.groupBy(F.shiftright(slot, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, CAST(shiftrightunsigned(fp, {64 - bits}) & 63 AS INT))")).alias("mask")).toArrow()
+    packed = np.zeros(1 << bits - 6, np.uint64)
+    packed[rows.column("word").to_numpy()] = rows.column("mask").to_numpy().view(np.uint64)
+    return bits, packed
 
-    def merge(t: pa.Table) -> pa.Table:
-        bits = np.bitwise_or.reduce([np.frombuffer(x, np.uint8) for x in t.column("bits").to_pylist()])
-        return pa.table({"part": t.column("part")[:1], "bits": pa.array([bits.tobytes()], pa.binary())})
 
-    marked = ids.select("fp").coalesce(8).mapInArrow(mark, "part int, bits binary").groupBy("part").applyInArrow(merge, "part int, bits binary")
-    packed = np.zeros((256, (1 << FILTER_BITS) // 8 // 256), np.uint8)
-    for r in marked.collect():
-        packed[r["part"]] = np.frombuffer(r["bits"], np.uint8)
-    return packed.reshape(-1)
+def passes(fp: np.ndarray, bits: int, packed: np.ndarray) -> np.ndarray:
+    at = _slot(fp, bits)
+    return (packed[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
 
 
 def bounded(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
@@ -280,15 +280,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows, shingles = known.agg(F.count("*"), F.coalesce(F.sum("n_shingles"), F.lit(0))).first()
 
     # frequent shingles of a bounded sample of different sets
-    drawn = F.pmod(F.xxhash64(F.lit("jaccard"), F.col("doc_id").cast("string"), F.length("text")), F.lit(1 << 30)) < min(1.0, SAMPLE / max(rows, 1)) * (1 << 30)
+    drawn = F.pmod(F.xxhash64(F.lit("jaccard"), F.col("doc_id").cast("string"), F.length("text")), F.lit(1 << 30)) < min(1.0, max(SAMPLE / max(rows, 1), 1 / SAMPLE_SHARE)) * (1 << 30)
 
     def sets_of(batches, bitmap=None):
         for batch in batches:
             for *_, h, sizes, fp in unique_sets(batch.column("text"), n):
                 keep = np.arange(len(fp))
                 if bitmap is not None:
-                    b = _bits(fp)
-                    keep = np.flatnonzero((bitmap[b >> 3] >> (7 - (b & 7))) & 1)
+                    keep = np.flatnonzero(passes(fp, *bitmap))
                 start = np.r_[0, np.cumsum(sizes)]
                 blobs = [h[start[i] : start[i + 1]].tobytes() for i in keep]
                 yield pa.RecordBatch.from_arrays([pa.array(fp[keep].view(np.int64)), pa.array(blobs, pa.binary())], ["fp", "shingles"])
@@ -299,7 +298,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         yield pa.RecordBatch.from_arrays([pa.array(g), pa.array(k)], ["h", "n"])
 
     sample = d.where(drawn).mapInArrow(sets_of, "fp long, shingles binary").dropDuplicates(["fp"])
-    hot = sample.mapInArrow(tally, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT).toArrow()
+    hot = sample.mapInArrow(tally, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "h").limit(HOT).toArrow()
     hot_h = hot.column("h").to_numpy().view(np.uint64)
     order = np.argsort(hot_h)
     frequent = spark.sparkContext.broadcast((hot_h[order], hot.column("n").to_numpy()[order]))
@@ -339,17 +338,24 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         gid = mix64(np.add.reduceat(mix64(fp + _C[0]), cut) + (size.astype(np.uint64) << np.uint64(1)) + kind) if len(cut) else np.zeros(0, np.uint64)
         _, once, times = np.unique(gid, return_index=True, return_counts=True)
         once, times = once[size[once] > 1], times[size[once] > 1]
-        offs = np.r_[0, np.cumsum(size[once])]
-        flat = np.concatenate([fp[cut[i] : cut[i] + size[i]] for i in once]) if len(once) else fp[:0]
-        return pa.table({"gid": pa.array(gid[once].view(np.int64)), "prefix": pa.array(kind[once] == 1), "times": pa.array(times), "members": pa.ListArray.from_arrays(pa.array(offs.astype(np.int32)), pa.array(flat.view(np.int64)))})
+        # a row holds CHUNK members at most: members are sorted, so a group has the same chunks in every bucket
+        chunks = -(-size[once] // CHUNK)
+        of = np.repeat(np.arange(len(once)), chunks)
+        chunk = np.arange(len(of)) - np.repeat(np.r_[0, np.cumsum(chunks)][:-1], chunks)
+        begin = cut[once][of] + chunk * CHUNK
+        length = np.minimum(CHUNK, size[once][of] - chunk * CHUNK)
+        offs = np.r_[0, np.cumsum(length)]
+        flat = fp[np.repeat(begin - offs[:-1], length) + np.arange(offs[-1])]
+        return pa.table({"gid": pa.array(gid[once][of].view(np.int64)), "chunk": pa.array(chunk.astype(np.int32)), "prefix": pa.array(kind[once][of] == 1), "times": pa.array(times[of]), "n": pa.array(size[once][of]),
+                         "members": pa.ListArray.from_arrays(pa.array(offs.astype(np.int32)), pa.array(flat.view(np.int64)))})
 
     packed = d.select("text").mapInArrow(index, "bucket int, payload binary")
-    groups = "gid long, prefix boolean, times long, members array<long>"
+    groups = "gid long, chunk int, prefix boolean, times long, n long, members array<long>"
     found = staged(packed.groupBy("bucket").applyInArrow(groups_of, groups), "found")
     release(spark)
     # a group that several signatures share is one group, counted as often
-    whole = found.groupBy("gid").agg(F.first("prefix").alias("prefix"), F.sum("times").alias("times"), F.first("members").alias("members"))
-    member = staged(whole.select("gid", "prefix", "times", F.size("members").alias("n"), F.explode("members").alias("fp"))
+    whole = found.groupBy("gid", "chunk").agg(F.first("prefix").alias("prefix"), F.sum("times").alias("times"), F.first("n").alias("n"), F.first("members").alias("members"))
+    member = staged(whole.select("gid", "prefix", "times", "n", F.explode("members").alias("fp"))
                     .withColumn("role", F.col("fp").bitwiseAND(1)).withColumn("fp", F.col("fp").bitwiseAND(-2)), "member")
     drop_staged(found)
 
