@@ -22,6 +22,8 @@ SLOTS, MAX_BLOCK = 40_000, 4096
 SLOT_CHUNK = 4096
 #: Hash chunks in which a source's shuffled documents are summed up.
 CHUNKS = 256
+#: Cells in which points meet the sources' shares; rows (sources, or cells of sources) up to which a table is broadcast.
+GRID, BROADCAST_ROWS = 4096, 100_000
 
 
 def source_targets(sizes: DataFrame, weights=(5, 2, 1), share: float = 1.5, cap: float = 2.0) -> DataFrame:
@@ -29,7 +31,8 @@ def source_targets(sizes: DataFrame, weights=(5, 2, 1), share: float = 1.5, cap:
 
     Sources sort by code point, null last, and weigh ``weights`` in turn. ``share`` of all words is dealt by
     weight; a source takes at most ``cap`` times its size and the excess is dealt again by weight: the
-    water level is the first at which every fuller source is capped. One row per source passes the windows.
+    water level is the first at which every fuller source is capped. One row per source passes the windows in
+    one task: up to some ten million sources.
     """
     per = sizes.groupBy("source").agg(F.sum("size").cast("long").alias("source_size"))
     order = Window.orderBy(F.col("source").asc_nulls_last())
@@ -68,16 +71,18 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     running = Window.orderBy(F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
     cum = t.withColumn("hi", F.sum("target").over(running) / F.lit(total or 1.0)).withColumn(
         "blocks", F.ceil(F.col("source_size") / block))
-    # one entry per source: an array of upper bounds turns a point into a source without a join
-    bounds = cum.where("target > 0").agg(F.array_sort(F.collect_list(F.struct("hi", "source", "blocks"))).alias("bounds"))
+    # a point lies in one cell of a grid over [0, 1), a source in those its interval of shares touches: an equi-join
+    upto = Window.orderBy("hi", F.col("source").asc_nulls_last())
+    shares = (cum.where("target > 0").select("source", "hi", "blocks").withColumn("lo", F.coalesce(F.lag("hi").over(upto), F.lit(0.0)))
+              .withColumn("hi", F.when(F.lead("hi").over(upto).isNull(), F.lit(2.0)).otherwise(F.col("hi"))))
+    cell = lambda x: F.least(F.floor(x * GRID), F.lit(GRID - 1)).cast("int")
+    shares = staged(shares.withColumn("cell", F.explode(F.sequence(cell(F.col("lo")), cell(F.col("hi"))))), "shares")
     i = F.col("id").cast("double")
     x = i * GOLDEN - F.floor(i * GOLDEN)
     spark = docs.sparkSession
-    ring = spark.range(1, n_slots + 1, 1, max(1, n_slots // 500_000)).crossJoin(F.broadcast(bounds))
-    ring = ring.withColumn("x", x).withColumn(
-        "hit", F.coalesce(F.element_at(F.filter("bounds", lambda b: b["hi"] > F.col("x")), 1), F.element_at("bounds", -1)))
-    ring = staged(ring.select("id", F.col("hit")["source"].alias("source"), F.col("hit")["blocks"].alias("blocks"),
-                              F.floor(F.col("id") / SLOT_CHUNK).alias("chunk")), "slots")
+    ring = spark.range(1, n_slots + 1, 1, max(1, n_slots // 500_000)).withColumn("x", x).withColumn("cell", cell(F.col("x")))
+    ring = ring.join(F.broadcast(shares) if shares.count() <= BROADCAST_ROWS else shares, "cell").where((F.col("lo") <= F.col("x")) & (F.col("x") < F.col("hi")))
+    ring = staged(ring.select("id", "source", "blocks", F.floor(F.col("id") / SLOT_CHUNK).alias("chunk")), "slots")
     per_chunk = ring.groupBy("source", "chunk").agg(F.count("*").alias("n"))
     per_chunk = per_chunk.withColumn("before", F.sum("n").over(Window.partitionBy("source").orderBy("chunk")) - F.col("n")).drop("n")
     in_chunk = Window.partitionBy("source", "chunk").orderBy("id")
@@ -104,6 +109,6 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     took = (pieces.join(used.withColumnRenamed("b", "b3"), F.col("source").eqNullSafe(F.col("s3")) & (F.col("b") == F.col("b3")))
             .groupBy("row").agg(F.sum(F.col("words") * F.col("times")).alias("taken")))
     return (laid.join(took, "row", "left")
-            .join(F.broadcast(t.select(F.col("source").alias("s4"), "source_size", "target")) if t.count() <= 100_000
+            .join(F.broadcast(t.select(F.col("source").alias("s4"), "source_size", "target")) if t.count() <= BROADCAST_ROWS
                   else t.select(F.col("source").alias("s4"), "source_size", "target"), F.col("source").eqNullSafe(F.col("s4")))
             .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))
