@@ -14,11 +14,14 @@ _local_root: str | None = None
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names in spark.checkpoint.dir; a temporary one only where that is unset."""
+    """The shared folder the cluster names in spark.checkpoint.dir. Where that is unset, a local master (as in tests)
+    gets a temporary folder; a cluster gets an error, as its executors share no local disk."""
     global _local_root
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if _local_root is None:
         _local_root = tempfile.mkdtemp(prefix="terraloom-")
     return _local_root

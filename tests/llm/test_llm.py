@@ -53,6 +53,18 @@ def held(i, n, k):
     return zlib.crc32(("" if i is None else str(i)).encode()) % n == k
 
 
+def turing(counts):
+    """Katz's discount ratio of a count, from the counts of counts."""
+    n = [0] + [sum(c == r for c in counts.values()) for r in range(1, katz.K + 2)]
+    a = (katz.K + 1) * n[katz.K + 1] / n[1] if n[1] else 0
+    d = [1.0]
+    for r in range(1, katz.K + 1):
+        d.append(((r + 1) * n[r + 1] / (r * n[r]) - a) / (1 - a) if all(n[1:]) and a < 1 else 0)
+    if not all(0 < x <= 1 for x in d):
+        d = [1.0] + [(r - n[1] / (n[1] + 2 * max(n[2], 0.5))) / r for r in range(1, katz.K + 1)]
+    return lambda c: d[c] if n[1] and c <= katz.K else 1.0
+
+
 def test_katz(docs, none):
     got = sorted(katz.katz_scores(docs, F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 1).collect(), key=str)
     data = [(r[0], WORD.findall((r[1] or "").translate(LOW)) + [None]) for r in rows()]
@@ -62,23 +74,20 @@ def test_katz(docs, none):
             uni.update(w)
             bi.update(zip(["<s>", *w[:-1]], w))
     n, v = sum(uni.values()), len(uni)
-    tally = lambda c: np.array([0, *[sum(x == r for x in c.values()) for r in range(1, katz.K + 2)]])
-    m = katz.Model(np.r_[tally(uni), tally(bi), n, v])
-    pw = lambda w: float(m.p_word(np.array([uni[w]]))[0])
-    assert abs(sum(pw(w) for w in uni) + m.unknown - 1) < 1e-9
+    d1, d2 = turing(uni), turing(bi)
+    free = 1 - sum(d1(c) * c for c in uni.values()) / n  # what discounting leaves for unknown words
+    unknown = max(free, 1 / (n + v + 1))
+    pw = lambda w: d1(uni[w]) * uni[w] / n * (1 - unknown) / (1 - free) if w in uni else unknown
     seen = defaultdict(dict)
     for (h, w), c in bi.items():
         seen[h][w] = c
     def p(w, h):
         if h not in seen:
             return pw(w)
-        ch = sum(seen[h].values()) + (h == "<s>" or uni[h] * katz.HOT_PARTS >= n)
-        mass = {x: float(m.discounted(np.array([c]), m.d2)[0]) / ch for x, c in seen[h].items()}
-        left, scale = 1 - sum(mass.values()), 1
-        if left < 1e-9:
-            left, scale = 1 / (ch + 1), (1 - 1 / (ch + 1)) / sum(mass.values())
-        return mass[w] * scale if w in mass else left / (1 - sum(map(pw, mass))) * pw(w)
-    for h in list(seen)[:10]:  # exactly normalised
+        mass = {x: d2(c) * c / (sum(seen[h].values()) + katz.UNSEEN) for x, c in seen[h].items()}
+        return mass[w] if w in mass else (1 - sum(mass.values())) / (1 - sum(map(pw, mass))) * pw(w)
+    hot = [h for h in seen if h == "<s>" or uni[h] * katz.HOT_PARTS >= n]
+    for h in hot[:5] + list(seen)[:10]:  # exactly normalised over the whole vocabulary, spread histories too
         assert abs(sum(p(w, h) for w in uni) + p("<unk>", h) - 1) < 1e-9
     want = sorted(((i, held(i, 5, 1), len(w), sum(uni[x] > 0 for x in w), n, sum(math.log10((uni[x] + 0.5) / (n + 0.5 * (v + 1))) for x in w), sum(math.log10(p(x, h)) for h, x in zip(["<s>", *w[:-1]], w))) for i, w in data), key=lambda r: str(r[:5]))
     for g, w in zip(sorted(got, key=lambda r: str(tuple(r)[:5])), want, strict=True):
@@ -104,6 +113,42 @@ def test_quality_learns_and_covers(docs, none, spark):
     assert empty.score(pa.array(["x", None, ""])).tolist() == [0.5] * 3
 
 
+def score_by_hand(net, text):
+    """The network's formulas, chunk by chunk and filter by filter."""
+    raw = text.encode()
+    halves = max(2, -(-(len(raw) + quality.LEAD + quality.WIDTH) // quality.HALF))
+    x = bytes(quality.LEAD) + raw + bytes(halves * quality.HALF + quality.WIDTH - len(raw))
+    hidden = []
+    for c in range(halves - 1):
+        starts = range(c * quality.HALF, (c + 2) * quality.HALF, quality.STRIDE)
+        best = np.max([sum(net.conv[j, x[i + j]] for j in range(quality.WIDTH)) for i in starts], axis=0)
+        hidden.append(np.tanh(np.maximum(best + net.conv_b, 0) @ net.w1 + net.b1))
+    logit = np.r_[np.max(hidden, axis=0), np.mean(hidden, axis=0)] @ net.w2 + net.b2
+    return 1 / (1 + math.exp(-logit[0]))
+
+
+def test_quality_forward_and_gradients():
+    rng = np.random.default_rng(5)
+    net = quality.ByteNet.new(rng)
+    texts = ["", "é", "plain words " * 30, "X" * 511, "mixed 123 !! " * 90]
+    assert net.score(pa.array(texts)) == pytest.approx([score_by_hand(net, t) for t in texts], rel=1e-4)
+    buf = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.r_[0, np.cumsum([len(t.encode()) for t in texts])]
+    y, weight = np.array([1.0, 0, 1, 0, 1]), np.array([1.0, 2, 1, 1, 1])
+    for name in ("conv", "conv_b", "w1", "b1", "w2", "b2"):
+        setattr(net, name, getattr(net, name).astype(np.float64))
+    _, grads = net.gradients(buf, offsets, y, weight)
+    for k, (p, g) in enumerate(zip(net.params(), grads)):
+        live = np.argwhere(np.abs(g) > 1e-4)
+        for at in map(tuple, live[rng.permutation(len(live))[:12]]):
+            was, loss = p[at], []
+            for step in (1e-5, -1e-5):
+                p[at] = was + step
+                loss.append(net.gradients(buf, offsets, y, weight)[0])
+            p[at] = was
+            assert (loss[0] - loss[1]) / 2e-5 == pytest.approx(g[at], rel=2e-2, abs=2e-5), k
+
+
 def brute_spans(kinds, text):
     out = []
     for rank, (kind, pattern, ok) in enumerate(kinds):
@@ -346,6 +391,42 @@ def test_language(docs, none):
     assert langid.LanguageFilters.build({}).predict(pa.array(["a", None]))[0].to_pylist() == ["und", "und"]
 
 
+def grams_by_hand(text):
+    b = b" " + bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in (text or "").lower().encode()) + b" "
+    return [b[i : i + 4] for i in range(len(b) - 3) if b[i + 1] != 32 and b[i + 2] != 32]
+
+
+def languages_by_hand(data):
+    """Exact n-gram sets of each language, by the rule the filters are built by; ``data`` has (text, lang)."""
+    share = {}
+    for lang in {l for t, l in data if l is not None and t is not None}:
+        ts = [t for t, l in data if l == lang and t is not None]
+        n = Counter(g for t in ts for g in set(grams_by_hand(t)))
+        share[lang] = {g: c / len(ts) for g, c in n.items() if (c >= 2 or len(ts) < 20) and c / len(ts) >= langid.MIN_SHARE}
+    top = Counter()
+    for x in share.values():
+        for g, r in x.items():
+            top[g] = max(top[g], r)
+    return {l: {g for g, r in x.items() if r >= langid.FOREIGN * top[g]} for l, x in share.items()}
+
+
+def rates_by_hand(sets, text):
+    g = grams_by_hand(text)
+    return {l: sum(x in s for x in g) / max(1, len(g)) for l, s in sets.items()}
+
+
+def test_language_against_exact_sets(docs):
+    data = [(r[1], r[2]) for r in rows()]
+    sets = languages_by_hand(data)
+    model = langid.fit(docs)
+    assert model.langs == sorted(sets)
+    texts = [t for t, _ in data]
+    rates = model.rates(pa.array(texts))
+    for t, r in zip(texts, rates):
+        want = rates_by_hand(sets, t)
+        assert list(r) == pytest.approx([want[l] for l in model.langs], abs=2e-3)
+
+
 def test_language_filters_hold_many_languages():
     members = {f"l{i:03d}": np.array([i * 7919 + 5], np.uint32) for i in range(130)}
     f = langid.LanguageFilters.build(members)
@@ -427,6 +508,17 @@ def test_line_dedup(spark):
     assert line_dedup.dedup_pages(df.where("false")).count() == 0
 
 
+def test_line_dedup_ties_and_repeats(spark):
+    """A line on exactly the ratio stays; repeated pages each count; very long lines; a URL without scheme has host ''."""
+    long = "z" * 300_000
+    data = [(i, "http://a.org", f"<p>tie</p><p>body {i}</p>" if i < 5 else f"<p>{long}</p><p>body {i}</p>") for i in range(11)] + [(10, "http://a.org", f"<p>{long}</p><p>body 10</p>")]
+    data += [(20 + i, "a.org/x", "<p>tie</p>") for i in range(6)]
+    df = spark.createDataFrame([(*d, "x", 3) for d in data], "page_id long, url string, html string, line string, _n int")
+    got = {r.page_id: r for r in line_dedup.dedup_pages(df, 5 / 12, 5).collect()}
+    assert got[0].text == "tie\nbody 0" and got[10].text == "body 10" and got[7].n_dropped == 1
+    assert got[20].host == "" and got[20].n_dropped == 1
+
+
 def shared_by_hand(data, ratio, prior=line_dedup.PRIOR):
     """{(host, line)} over the pooled ratio; ``data`` has (host, lines) of each page."""
     pages, n, total = Counter(h for h, _ in data), Counter(), Counter()
@@ -495,15 +587,69 @@ def test_decontamination(spark):
     assert decontam.contaminated(spark.createDataFrame(data, "doc_id long, text string"), spark.createDataFrame([], "item_id long, text string")).count() == 0
 
 
-def test_pipeline_stages(spark, docs, none, tmp_path):
+def same_rows(got, want):
+    key = lambda r: str(tuple(r))
+    assert sorted(map(tuple, got), key=key) == sorted(map(tuple, want), key=key)
+
+
+def test_pipeline_stages(spark, none, tmp_path):
+    """Each stage against brute force on its own input: nulls, blanks, repeated rows, copies, a contaminated text."""
     import corpus_pipeline as cp
 
-    spark.createDataFrame([(1, next(r[1] for r in rows() if r[1] and len(r[1].split()) == 80))], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
-    kept = docs
+    item = "a question of some length that no other text of the corpus has in it anywhere, they say"
+    lines = ["Shared line of all the sources.", "und etwas, das sonst nirgends steht"]
+    data = [(i, t, l, s, len(t or "")) for i, t, l, s in rows() if len(t or "") < 3000]
+    data += [(200 + i, f"the on in ereat{i} theon ing{i}\n{lines[0]}", "en", f"s{i % 3}", 9) for i in range(12)]
+    data += [(300, "in the ation " + item.replace("some", "sme").upper() + " erat the", "en", "s1", 9), (301, "жзи бвг дейк лмно прст уфхц чшщ", None, "s1", 9), (302, None, None, None, None), (302, None, None, None, None)]
+    spark.createDataFrame([(1, item), (2, None)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    schema = "doc_id long, text string, lang string, source string, n_chars long, _lang int, line string"
+    kept = spark.createDataFrame([(*d, 1, "x") for d in data], schema).repartition(3)
     for name, stage in cp.STAGES:
-        kept = stage(spark, kept, str(tmp_path)).cache()
-        assert kept.count() <= docs.count()
-        if name != "source_mix":
-            assert tuple(kept.columns) == cp.COLUMNS
-            assert stage(spark, none, str(tmp_path)).count() == 0
+        was = [tuple(r) for r in kept.select(*cp.COLUMNS).collect()]
+        kept = spark.createDataFrame(stage(spark, kept, str(tmp_path)).collect(), stage(spark, none, str(tmp_path)).schema)
+        got = kept.collect()
+        if name == "language_id":
+            sets = languages_by_hand([(d[1], d[2]) for d in was])
+            fits = lambda t: re.search(r"[^\W\d_]", t or "") and (len(t) < cp.SHORT or max(rates_by_hand(sets, t).values()) >= langid.MIN_RATE)
+            same_rows(got, [d for d in was if fits(d[1])])
+            assert 301 not in {d.doc_id for d in got}
+        elif name == "line_dedup":
+            out = shared_by_hand([(d[3], (d[1] or "").split("\n")) for d in was], lambda x: line_dedup.SHARED)
+            want = []
+            for i, t, l, s, n in was:
+                left = [x for x in t.split("\n") if (s, x) not in out]
+                cut = len(left) < len(t.split("\n"))
+                text = "\n".join(left)
+                if not cut or text.strip(" "):
+                    want.append((i, text, l, s, len(text) if cut else n))
+            same_rows(got, want)
+            assert not any(lines[0] in d.text for d in got)
+        elif name == "ngram_jaccard":
+            sets = [set(shingles_by_hand(d[1])) for d in was]
+            root = list(range(len(was)))
+            find = lambda i: i if root[i] == i else find(root[i])
+            for i in range(len(was)):
+                for j in range(i):
+                    both = len(sets[i] & sets[j])
+                    if sets[i] and 100 * both >= 75 * len(sets[i] | sets[j]):
+                        root[find(i)] = find(j)
+            least = {}
+            for i, d in enumerate(was):
+                if d[0] is not None and sets[i]:
+                    least[find(i)] = min(least.get(find(i), d[0]), d[0])
+            ids = {d[0] for i, d in enumerate(was) if sets[i] and least.get(find(i)) == d[0]}
+            assert {d.doc_id for d in got} == ids and set(map(tuple, got)) <= set(was) and len(got) == len({d.doc_id for d in got})
+        elif name == "decontamination":
+            n, budget = decontam.normalise(item), int(decontam.RATE * len(decontam.normalise(item)))
+            same_rows(got, [d for d in was if edit_anywhere(n, decontam.normalise(d[1])) > budget])
+            assert 300 not in {d.doc_id for d in got} and 300 in {d[0] for d in was}
+        else:
+            size = {d[0]: len(WORD.findall(d[1])) for d in was}
+            assert {d.doc_id: d["size"] for d in got} == size and all(d.taken <= 2 * d["size"] for d in got)
+        assert stage(spark, none, str(tmp_path)).count() == 0
     assert kept.count() > 20
+
+
+def shingles_by_hand(text):
+    w = WORD.findall((text or "").translate(LOW))
+    return [tuple(w[j : j + 5]) for j in range(len(w) - 4)] if len(w) >= 5 else ([tuple(w)] if w else [])
