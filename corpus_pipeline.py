@@ -67,7 +67,8 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("language_id", language_id), ("line_dedup", line_dedup), ("ngram_jaccard", ngram_jaccard),
           ("decontamination", decontamination), ("source_mix", source_mix)]
 
-#: The language model and the edit distances cannot be told in SQL; tests hold the stages against brute force.
+#: The language filters and the edit distances cannot be told in SQL; test_pipeline_stages holds each stage against
+#: brute force on its own input.
 ORACLE_SQL = None
 
 
