@@ -168,22 +168,66 @@ def evidence_level(category: Column, address: Column, text: Column) -> Column:
                   ((category == "government_procurement") & address.rlike("仓库|粮库|储备库|配送中心|冷库|厂房|加工厂|物流中心"), "B"), (category == "government_procurement", "C"), otherwise="D")
 
 
-def product_flags(text: Column) -> dict[str, Column]:
-    """Product kinds that a text names."""
+def node_type(name: Column, text: Column, category: Column) -> Column:
+    """struct(node_type, recognition, note) of a supply record by source category, then by the first matching words."""
+    def kind(value: str, recognition: str, note: str = "") -> Column:
+        return F.struct(F.lit(value).alias("node_type"), F.lit(recognition).alias("recognition"), F.lit(note).alias("note"))
+
+    whole = F.concat(normalize_name(name), clean_cell(text))
+    bare, among = normalize_name(name), category.isin("grain_emergency", "grain_storage")
+    # fixed values: recognitions, notes and the words that decide
+    listed, national = "广西储备商品管理公司及其直属库名单（桂财税〔2024〕8号）", "国家级粮食应急保障企业"
+    reserve = category == "grain_reserve"
+    return ladder((category == "wholesale_market", kind("agricultural_wholesale_market", "农业农村部定点市场")),
+                  (category == "cold_chain", kind("cold_chain_distribution_center", "县级农产品冷链集配中心")),
+                  (category == "basket_supply_base", kind("basket_supply_base", "菜篮子稳产保供基地")),
+                  (category == "government_procurement", kind("government_procurement_supplier", "政府采购入围/中标供应商", "采购供应商身份不等同于实体仓储节点。")),
+                  (reserve & bare.rlike("军粮供应|军粮配送|军供站|军粮仓储|粮油军供"), kind("military_grain_supply", listed)),
+                  (reserve & bare.rlike("粮食储备库|储备粮库|粮库|储备库|直属库|中心库|库区"), kind("grain_depot", listed)),
+                  (reserve & bare.rlike("储备粮管理|粮食收储|粮油收储|粮食购销|粮油购销|粮食管理所|粮所|粮食储备中心|粮食和物资储备|粮食购储|储备管理"), kind("grain_reserve", listed, "名单证明储备体系资格，但企业主体或管理机构名称不等同于具体物理粮库。")),
+                  (reserve, kind("other", listed, "属于储备商品管理公司及其直属库名单，但名称不足以安全判断为具体粮库或储备管理机构。")),
+                  (among & whole.rlike("军粮"), kind("military_grain_supply", national)),
+                  (among & whole.rlike("粮食储备库|储备粮库|粮库|储备库|直属库|中心库"), kind("grain_depot", national)),
+                  (among & whole.rlike("储备粮管理|粮食收储|粮油购销"), kind("grain_reserve", national)),
+                  (among & whole.rlike("配送中心|配送"), kind("emergency_distribution_center", national)),
+                  (among & whole.rlike("物流|粮运|储运"), kind("emergency_storage_transport", national)),
+                  (among & whole.rlike("面粉|米业|油脂|食品|粮油|加工"), kind("emergency_processing", national)),
+                  (among, kind("other", national, "官方名单未给出储运、加工、配送等具体子类，保守归为 other。")),
+                  otherwise=kind("other", "", "来源信息不足，保守归为 other。"))
+
+
+def product_flags(text: Column, category: Column | None = None, market: Column | None = None) -> dict[str, Column]:
+    """Product kinds that a text names. Grain sources always supply grain; a wholesale market (its own text in
+    ``market``) always fresh food, and what its name says."""
     # fixed values: the words of each kind
     words = {"grain": "粮食|大米|米面|面粉|粮油|米粉|面食", "oil": "食用油|油脂|粮油|米面油", "processed_food": "副食品|调味|早餐|米粉|面包|糕点|豆制品|干货|奶制品|饮品|冷冻品|食品", "meat": "畜肉|禽肉|鲜肉|肉类|肉及",
              "vegetable": "蔬菜|时蔬|果蔬", "fruit": "水果|果蔬", "aquatic_product": "水产|海鲜", "dairy": "奶制品|乳制品|牛奶", "daily_goods": "日用品|日用百货|生活用品"}
+    # fixed values: the words in a market's name
+    names = {"grain": "粮油", "oil": "粮油", "aquatic_product": "水产|海鲜", "fruit": "果|水果", "vegetable": "菜|蔬菜", "meat": "肉|畜禽|牛羊"}
     flags = {k: text.rlike(w) for k, w in words.items()}
-    fresh = flags["meat"] | flags["vegetable"] | flags["fruit"] | flags["aquatic_product"] | flags["dairy"]
-    return flags | {"fresh_food": fresh}
-
-
-def capability_flags(text: Column, site: Column) -> dict[str, Column]:
-    """Facility capabilities; a line of frozen goods alone proves no cold store at the site."""
+    none = F.lit(False)
+    of = F.coalesce(category, F.lit("")) if category is not None else F.lit("")
+    flags["grain"] = flags["grain"] | of.isin("grain_emergency", "grain_reserve", "grain_storage")
+    fresh = none
+    for k in ("meat", "vegetable", "fruit", "aquatic_product", "dairy"):
+        fresh = fresh | flags[k]
+    is_market = of == "wholesale_market"
+    for k, w in names.items():
+        flags[k] = flags[k] | (is_market & (normalize_name(market if market is not None else text)).rlike(w))
+    return flags | {"fresh_food": is_market | fresh}
+
+
+def capability_flags(text: Column, site: Column, category: Column | None = None, reserve_text: Column | None = None) -> dict[str, Column]:
+    """Facility capabilities; a line of frozen goods alone proves no cold store at the site, and a wholesale market
+    always distributes. Records of grain reserves are judged by ``reserve_text`` (name and address) alone."""
+    of = F.coalesce(category, F.lit("")) if category is not None else F.lit("")
+    if reserve_text is not None:
+        text = F.when(of == "grain_reserve", reserve_text).otherwise(text)
     # fixed values: the words of each capability
     words = {"storage": "仓库|粮库|储备库|冷库|库房|仓储|直属库|中心库|库区", "processing": "加工厂|加工中心|生产车间|厂房|食品厂|米粉厂|面粉|油脂加工", "distribution": "配送中心|配送有限公司|食品配送|餐饮配送|物流中心|物流集团|粮运物流",
              "retail": "供应网点|门店|超市|便利店|零售", "cold_chain": "冷链中心|冷链物流|冷库"}
     out = {f"{k}_capability": text.rlike(w) for k, w in words.items()}
+    out["distribution_capability"] = out["distribution_capability"] | (of == "wholesale_market")
     out["cold_chain_capability"] = out["cold_chain_capability"] & ~(F.contains(text, F.lit("冷冻品类")) & ~site.rlike("冷链|冷库"))
     return out
 
@@ -235,3 +279,17 @@ def name_similarity(a: Column, b: Column) -> Column:
     inside = F.contains(x, y) | F.contains(y, x)
     share = F.least(F.length(x), F.length(y)) / F.greatest(F.length(x), F.length(y))
     return F.when((x == "") | (y == ""), 0.0).when(x == y, 1.0).when(inside, F.greatest(ratio, share)).otherwise(ratio)
+
+
+def semantic_name(x: Column) -> Column:
+    """The match name without the region it starts with and without legal forms, so that relatives stay apart."""
+    # fixed values: regions and legal forms
+    wide, narrow_ = "广西壮族自治区|广西|南宁市|柳州市", "兴宁区|青秀区|江南区|西乡塘区|良庆区|邕宁区|武鸣区|横州市|宾阳县|上林县|马山县|隆安县|城中区|鱼峰区|柳南区|柳北区|柳江区|柳城县|鹿寨县|融安县|融水苗族自治县|三江侗族自治县"
+    y = F.regexp_replace(F.regexp_replace(match_name(x), f"^(?:{wide})", ""), f"^(?:{narrow_})", "")
+    return F.regexp_replace(y, "(?:有限责任公司|股份有限公司|集团有限公司|有限公司)", "")
+
+
+def safe_name_match(a: Column, b: Column, least: float = 0.9) -> Column:
+    """Whether two names mean the same entity: equal semantic names, or a ratio of at least ``least``; never if one is empty."""
+    x, y = semantic_name(a), semantic_name(b)
+    return (x != "") & (y != "") & ((x == y) | (sequence_ratio(x, y) >= least))

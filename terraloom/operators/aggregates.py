@@ -55,3 +55,18 @@ def weighted_mean(x: Column, w: Column) -> Column:
 def wide_ratios(df: DataFrame, by: str, cls: str, values: list, prefix: str) -> DataFrame:
     """One column per class with the class's share of the group, as conditional sums in one pass."""
     return df.groupBy(by).agg(*[(F.sum(F.when(F.col(cls) == v, 1.0).otherwise(0.0)) / F.count("*")).alias(f"{prefix}{i}") for i, v in enumerate(values)])
+
+
+def union_area(df: DataFrame, by: str) -> DataFrame:
+    """(by, area): area of the union of each group's boxes (x0, y0, x1, y1).
+
+    The x edges of a group cut it into slabs; each box is dealt to its slabs, the y intervals of a slab are merged by
+    their running end. Slabs are separate keys, so a large group spreads over many tasks."""
+    edges = df.select(by, F.explode(F.array("x0", "x1")).alias("lo")).distinct()
+    slabs = edges.withColumn("hi", F.lead("lo").over(Window.partitionBy(by).orderBy("lo"))).where("hi > lo")
+    w = Window.partitionBy(by, "lo").orderBy("y0", "y1")
+    parts = df.where("x1 > x0 and y1 > y0").join(slabs, by).where((F.col("x0") <= F.col("lo")) & (F.col("hi") <= F.col("x1")))
+    ends = F.max("y1").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = F.greatest(F.lit(0.0), F.col("y1") - F.greatest(F.col("y0"), F.coalesce(ends, F.col("y0"))))
+    covered = parts.withColumn("_h", fresh).groupBy(by).agg(F.sum(F.col("_h") * (F.col("hi") - F.col("lo"))).alias("area"))
+    return df.select(by).distinct().join(covered, by, "left").select(by, F.coalesce("area", F.lit(0.0)).alias("area"))

@@ -6,15 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terraloom.functions.text import groupable_code
+from terraloom.sources.shared import with_checkpoints
 
 
 def linked_groups(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, root): smallest node reachable over explicit links, by minimum labels and pointer jumps."""
     spark = edges.sparkSession
-    if spark.conf.get("spark.checkpoint.dir", None) is None:
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp())
+    with_checkpoints(spark)
     e = edges.select(F.col(a).alias("x"), F.col(b).alias("y"))
     both = e.union(e.select("y", "x")).distinct().toDF("node", "other").checkpoint()
     root = both.groupBy("node").agg(F.least(F.min("other"), F.col("node")).alias("root")).checkpoint()
@@ -56,3 +54,29 @@ def unchanged(before: DataFrame, after: DataFrame, key: str, targets: DataFrame)
     """Rows outside of ``targets`` that differ: an empty result is the guard's pass."""
     keep = lambda d: d.join(targets.select(key), key, "left_anti").select(before.columns)
     return keep(before).exceptAll(keep(after))
+
+
+def geocode_scores(df: DataFrame, similarity: Column, city_ok: Column, county_ok: Column) -> DataFrame:
+    """``df`` with score and similarity (four digits): the address ratio, with a bonus or a penalty for city and county."""
+    raw = similarity + F.when(city_ok, 0.20).otherwise(-0.50) + F.when(county_ok, 0.10).otherwise(-0.15)
+    return df.withColumns({"similarity": F.round(similarity, 4), "score": F.round(raw, 4), "city_ok": city_ok, "county_ok": county_ok})
+
+
+def chosen_geocode(scored: DataFrame, key: str, target_detailed: str) -> DataFrame:
+    """(key, location, reject, confidence): the best answer in the right region, or why there is none.
+
+    No answer, the wrong city, two answers within 0.08 of each other, or a coarse level for an address that says less
+    than a street are rejected, in this order. ``target_detailed`` is a column of the target, equal in its rows."""
+    # fixed values: levels too coarse for a point
+    coarse = ("省", "市", "区县", "乡镇", "村庄")
+    able = (F.col("location") != "") & F.col("city_ok") & F.col("county_ok")
+    order = F.struct(-F.col("score"), -F.col("similarity"), F.col("name"), F.col("location"), F.col("level"))
+    best = F.slice(F.array_sort(F.collect_list(F.when(able, order))), 1, 2)
+    # two answers are enough: the lists are bounded by the answers a request may have
+    g = scored.groupBy(key).agg(best.alias("b"), F.max(F.when(~F.col("city_ok"), True)).alias("elsewhere"), F.bool_or(F.col(target_detailed)).alias("detailed"))
+    top, nxt = F.try_element_at("b", F.lit(1)), F.try_element_at("b", F.lit(2))
+    reject = (F.when(F.size("b") == 0, F.when(F.col("elsewhere"), "region_mismatch").otherwise("no_result"))
+              .when(nxt["col1"] - top["col1"] < 0.08, "multiple_matches").when(top["level"].isin(*coarse) & ~F.col("detailed"), "name_mismatch").otherwise(""))
+    g = g.withColumn("reject", reject)
+    fine = F.col("reject") == ""
+    return g.select(key, F.when(fine, top["location"]).alias("location"), "reject", F.when(fine, F.when(-top["col2"] >= 0.75, "high").otherwise("medium")).otherwise("").alias("confidence"))

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
 import io
+import sqlite3
 import zipfile
+import zlib
 from collections.abc import Iterator
+from xml.etree import ElementTree
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.window import Window
 
 
@@ -55,7 +60,7 @@ def numbered_lines(df: DataFrame, key: str, text: str) -> DataFrame:
 def html_items(df: DataFrame, key: str, html: str) -> DataFrame:
     """(key, pos, section, item): list items with the last heading before them; scripts and styles never count."""
     bare = F.regexp_replace(html, r"(?s)<script\b.*?</script>|<style\b.*?</style>", " ")
-    parts = df.select(key, F.posexplode(F.regexp_extract_all(bare, F.lit(r"(?s)<(?:h[1-6]|li)[^>]*>.*?</(?:h[1-6]|li)>"), F.lit(0))).alias("pos", "part"))
+    parts = df.select(key, F.posexplode(F.regexp_extract_all(bare, F.lit(r"(?s)<(?:h[1-6]|li)\b[^>]*>.*?</(?:h[1-6]|li)>"), F.lit(0))).alias("pos", "part"))
     head = F.when(F.col("part").rlike("^<h"), F.regexp_replace("part", "<[^>]*>", ""))
     sticky = F.last(head, ignorenulls=True).over(Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0))
     return parts.withColumn("section", sticky).where(F.col("part").rlike("^<li")).select(key, "pos", "section", F.trim(F.regexp_replace("part", "<[^>]*>", "")).alias("item"))
@@ -81,20 +86,87 @@ def inventory(spark: SparkSession, path: str) -> DataFrame:
 
 
 def zip_members(spark: SparkSession, path: str) -> DataFrame:
-    """(archive, member, size, sha256, safe) of ZIP archives; an archive that cannot be read has one row with an error."""
+    """``zip_members_of`` the archives at ``path``."""
+    return zip_members_of(spark.read.format("binaryFile").load(path).select("path", "content"))
+
+
+def zip_members_of(archives: DataFrame) -> DataFrame:
+    """(archive, member, size, sha256, safe, virtual_path, error) of ZIP archives (path, content); an archive that cannot
+    be read, or whose content fails its check sums, has one row with an error."""
+    names = ("archive", "member", "size", "sha256", "safe", "error")
+
     def members(batches) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
             for p, c in zip(b.column("path").to_pylist(), b.column("content").to_pylist()):
                 try:
-                    with zipfile.ZipFile(io.BytesIO(c)) as z:
+                    with zipfile.ZipFile(io.BytesIO(c or b"")) as z:
                         rows += [(p, i.filename, i.file_size, hashlib.sha256(z.read(i)).hexdigest(), not (i.filename.startswith("/") or ".." in i.filename.split("/")), None) for i in z.infolist() if not i.is_dir()]
-                except zipfile.BadZipFile as e:
+                except (zipfile.BadZipFile, zlib.error) as e:
                     rows.append((p, None, None, None, None, str(e)))
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.string(), pa.int64(), pa.string(), pa.bool_(), pa.string()))], ["archive", "member", "size", "sha256", "safe", "error"])
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.string(), pa.int64(), pa.string(), pa.bool_(), pa.string()))], names)
+
+    out = archives.select("path", "content").mapInArrow(members, "archive string, member string, size long, sha256 string, safe boolean, error string")
+    return out.withColumn("virtual_path", F.concat(F.lit("/vsizip/"), F.col("archive"), F.lit("/"), F.col("member")))
+
+
+def tile_archives(members: DataFrame) -> DataFrame:
+    """(archive, dem, num, status): archives must hold exactly one member ending in _DEM.tif and one in _NUM.tif, all safe."""
+    one = lambda end: F.min(F.when(F.col("member").endswith(end), F.col("member")))
+    n = lambda end: F.count_if(F.col("member").endswith(end))
+    g = members.groupBy("archive").agg(one("_DEM.tif").alias("dem"), one("_NUM.tif").alias("num"), n("_DEM.tif").alias("_d"), n("_NUM.tif").alias("_n"), F.bool_and(F.coalesce("safe", F.lit(False))).alias("_safe"))
+    return g.select("archive", "dem", "num", F.when((F.col("_d") == 1) & (F.col("_n") == 1) & F.col("_safe"), "PASS").otherwise("FAIL").alias("status"))
+
+
+def table_rows(df: DataFrame, key: str, text: str, columns: int) -> DataFrame:
+    """(key, line, c1..): rows of a text table (cells parted by a tab or two blanks) with that many cells, the first all digits."""
+    lines = df.select(key, F.posexplode(F.split(text, "\n")).alias("line", "_l"))
+    cells = lines.select(key, "line", F.split(F.trim("_l"), r"\t|\s{2,}").alias("_c")).where((F.size("_c") == columns) & F.col("_c")[0].rlike("^[0-9]+$"))
+    return cells.select(key, "line", *[F.col("_c")[i].alias(f"c{i + 1}") for i in range(columns)])
+
+
+_W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 
-    f = spark.read.format("binaryFile").load(path).select("path", "content")
-    return f.mapInArrow(members, "archive string, member string, size long, sha256 string, safe boolean, error string")
+
+def docx_rows(df: DataFrame, key: str, content: str) -> DataFrame:
+    """(key, table, row, cells, error) of the tables in word-processing packages; one that cannot be read has one row with an error."""
+    kind = df.schema[key].dataType
+
+    def rows(batches) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for k, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                try:
+                    with zipfile.ZipFile(io.BytesIO(c or b"")) as z:
+                        body = ElementTree.fromstring(z.read("word/document.xml"))
+                    for n, table in enumerate(body.iter(_W + "tbl")):
+                        for i, row in enumerate(table.iter(_W + "tr")):
+                            out.append((k, n, i, ["".join(t.text or "" for t in cell.iter(_W + "t")) for cell in row.iter(_W + "tc")], None))
+                except (zipfile.BadZipFile, KeyError, ElementTree.ParseError) as e:
+                    out.append((k, None, None, None, str(e)))
+            types = (to_arrow_type(kind), pa.int32(), pa.int32(), pa.list_(pa.string()), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in out], t) for j, t in enumerate(types)], [key, "table", "row", "cells", "error"])
+
+    return df.select(key, content).mapInArrow(rows, f"{key} {kind.simpleString()}, table int, row int, cells array<string>, error string")
+
+
+def package_layers(df: DataFrame, key: str, content: str) -> DataFrame:
+    """(key, layer, data_type, features) of GeoPackages: the catalogue table and a count of each layer, read in memory."""
+    kind = df.schema[key].dataType
+
+    def layers(batches) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for k, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                with contextlib.closing(sqlite3.connect(":memory:")) as db:
+                    db.deserialize(c)
+                    for name, data_type in db.execute("SELECT table_name, data_type FROM gpkg_contents ORDER BY table_name").fetchall():
+                        quoted = name.replace('"', '""')
+                        out.append((k, name, data_type, db.execute(f'SELECT count(*) FROM "{quoted}"').fetchone()[0]))
+            types = (to_arrow_type(kind), pa.string(), pa.string(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in out], t) for j, t in enumerate(types)], [key, "layer", "data_type", "features"])
+
+    return df.select(key, content).mapInArrow(layers, f"{key} {kind.simpleString()}, layer string, data_type string, features long")
 
 
 def cached_requests(requests: DataFrame, cache: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]:
