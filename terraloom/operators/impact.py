@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from terraloom.operators.ranking import global_rank
 from terraloom.operators.windows import min_max
+from terraloom.sources.shared import with_checkpoints
 
 #: Model weights of the priority indicators (fixed values; they sum to one).
 WEIGHTS = {"population": 0.30, "facility": 0.15, "flood_area": 0.20, "road": 0.15, "settlements": 0.05, "rescue_distance": 0.15}
@@ -29,7 +31,7 @@ def sensitivity(df: DataFrame, key: str, weights: dict[str, float] = WEIGHTS, ch
     norm = min_max(df, list(weights))
     scores = F.array(*[F.struct(F.lit(i).alias("scenario"), sum((F.col(f"{c}_norm") * w for c, w in s.items()), F.lit(0.0)).alias("score")) for i, s in enumerate(scenarios)])
     flat = norm.select(key, F.inline(scores))
-    ranked = flat.withColumn("r", F.rank().over(Window.partitionBy("scenario").orderBy(F.desc(F.round("score", 12)))))
+    ranked = global_rank(flat.withColumn("_s", F.round("score", 12)), "r", "scenario", "_s")
     return ranked.groupBy(key).agg(F.min("r").alias("rank_min"), F.max("r").alias("rank_max")).withColumn("stable", F.col("rank_min") == F.col("rank_max"))
 
 
@@ -60,21 +62,20 @@ def first_success(attempts: DataFrame, case: str, distance: str, ok: Column) ->
         case, distance, F.coalesce("_hit", "_all").alias("attempts"), F.when(F.col("_hit").isNull(), "no_safe_route").otherwise("assigned").alias("status"))
 
 
-def shortest_paths(edges: DataFrame, sources: DataFrame, max_hops: int = 50) -> DataFrame:
+def shortest_paths(edges: DataFrame, sources: DataFrame) -> DataFrame:
     """(case, node, dist): shortest distances from each case's origin over undirected ``edges`` (u, v, w).
 
     Frontier relaxation with joins; only nodes whose distance fell go on. Each round is checkpointed, so the
-    plan stays short and lost executors cost one round. Ends when nothing falls or after ``max_hops``."""
+    plan stays short and lost executors cost one round. Weights must not be negative (this raises): then it ends,
+    after as many rounds as the longest shortest path has edges."""
     spark = edges.sparkSession
+    edges = edges.withColumn("w", F.when(F.assert_true(F.col("w") >= 0, F.lit("negative weight")).isNull(), F.col("w")))
     two = edges.select("u", "v", "w").union(edges.select("v", "u", "w")).groupBy("u", "v").agg(F.min("w").alias("w"))
-    if spark.conf.get("spark.checkpoint.dir", None) is None:
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp())
+    with_checkpoints(spark)
     two = two.checkpoint()
     best = sources.select("case", "node", F.lit(0.0).alias("dist")).checkpoint()
     front = best
-    for _ in range(max_hops):
+    while True:
         step = front.join(two, front["node"] == two["u"]).groupBy("case", F.col("v").alias("node")).agg(F.min(F.col("dist") + F.col("w")).alias("cand"))
         nxt = step.join(best, ["case", "node"], "left").where(F.col("dist").isNull() | (F.col("cand") < F.col("dist"))).select("case", "node", F.col("cand").alias("dist")).checkpoint()
         if nxt.limit(1).count() == 0:

@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from terraloom.sources.shared import new_path
+
 #: Rows up to which a lookup side is broadcast; larger ones are joined by shuffle.
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 64 << 20
+#: Rows of a table that every row of another is compared with directly.
+FEW = 64
 
 
 def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df``, marked for broadcast only if it has at most ``rows`` rows (one bounded count)."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    """``df``, marked for broadcast only if it has at most ``rows`` rows and BROADCAST_BYTES as text (one bounded
+    scan)."""
+    width = F.sum(F.octet_length(F.to_csv(F.struct(*[F.col(c).cast("string") for c in df.columns]))))
+    n, size = df.limit(rows + 1).agg(F.count("*"), F.coalesce(width, F.lit(0))).first()
+    return F.broadcast(df) if n <= rows and size <= BROADCAST_BYTES else df
 
 
 def one_to_one(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
@@ -33,10 +42,9 @@ def filled(left: DataFrame, right: DataFrame, on: str, **defaults) -> DataFrame:
 
 
 def densified(keys_a: DataFrame, keys_b: DataFrame, counts: DataFrame, on: list[str], measure: str) -> DataFrame:
-    """Every combination of two small key tables with its measure, 0 where there is none.
-
-    The second table must be small enough to broadcast; its size is checked by the caller's key domain."""
-    return keys_a.crossJoin(F.broadcast(keys_b)).join(counts, on, "left").fillna({measure: 0})
+    """Every combination of two key tables with its measure, 0 where there is none. The result has that many rows by
+    definition; the second table is broadcast only if it is small."""
+    return keys_a.crossJoin(sized(keys_b)).join(counts, on, "left").fillna({measure: 0})
 
 
 def link_status(links: DataFrame, records: DataFrame, record: str, target: str) -> DataFrame:
@@ -69,9 +77,32 @@ def cell_pairs(a: DataFrame, b: DataFrame, radius: float) -> DataFrame:
 
 
 def nearest(a: DataFrame, b: DataFrame, a_key: str, b_key: str) -> DataFrame:
-    """Nearest row of a small, size-checked ``b`` for each row of ``a``; ties go to the smallest key."""
-    d = a.crossJoin(sized(b)).withColumn("dist", F.hypot(F.col("ax") - F.col("bx"), F.col("ay") - F.col("by")))
-    return d.groupBy(a_key).agg(F.min(F.struct("dist", b_key)).alias("_m")).select(a_key, F.col(f"_m.{b_key}").alias(b_key), F.col("_m.dist").alias("dist"))
+    """Nearest row of ``b`` (bx, by) for each row of ``a`` (ax, ay); ties go to the smallest key. No ``b``, no rows.
+
+    Rows are compared with all of ``b`` only if it has FEW rows. Else rings grow: within a radius at which a cell
+    holds about one row of ``b`` the join on grid cells finds the nearest of most; the radius is doubled for the
+    rest, until it spans everything. Each round is written to the shared folder."""
+    best = lambda d: d.groupBy(a_key).agg(F.min(F.struct("dist", b_key)).alias("_m")).select(a_key, F.col(f"_m.{b_key}").alias(b_key), F.col("_m.dist").alias("dist"))
+    side = b.select(b_key, "bx", "by")
+    if side.limit(FEW + 1).count() <= FEW:
+        return best(a.crossJoin(F.broadcast(side)).withColumn("dist", F.hypot(F.col("ax") - F.col("bx"), F.col("ay") - F.col("by"))))
+    spark, lo_hi = a.sparkSession, lambda c: (F.min(c), F.max(c))
+    n, x0, x1, y0, y1 = side.agg(F.count("*"), *lo_hi("bx"), *lo_hi("by")).first()
+    u0, u1, v0, v1 = a.agg(*lo_hi("ax"), *lo_hi("ay")).first()
+    if u0 is None:
+        return best(a.crossJoin(side.limit(0)).withColumn("dist", F.lit(0.0)))
+    whole = math.hypot(max(x1, u1) - min(x0, u0), max(y1, v1) - min(y0, v0)) * 1.01 + 1e-9
+    radius = max(math.sqrt(max(x1 - x0, whole / n) * max(y1 - y0, whole / n) / n), whole / 2**20)
+    left, out = a.select(a_key, "ax", "ay"), None
+    while True:
+        path = new_path(spark, "nearest")
+        best(cell_pairs(left, side, radius)).write.parquet(path)
+        done = spark.read.parquet(path)
+        out = done if out is None else out.unionByName(done)
+        left = left.join(done.select(a_key), a_key, "left_anti")
+        if radius >= whole or not left.limit(1).count():
+            return out
+        radius = min(2 * radius, whole)
 
 
 def seam(tiles: DataFrame, key: str, step: int, value: str) -> DataFrame:

@@ -130,12 +130,12 @@ def _(t):
     return V.references(t.orders, "custkey", "o_custkey", t.customer, "c_custkey")
 
 
-@query("va_05_conservation", "SELECT 'quantity' AS \"check\", (SELECT sum(q) FROM (SELECT sum(l_quantity) AS q FROM lineitem GROUP BY l_suppkey)) AS observed, (SELECT sum(l_quantity) FROM lineitem) AS expected, 'PASS' AS status")
+@query("va_05_conservation", "SELECT 'quantity' AS \"check\", (SELECT sum(q) FROM (SELECT sum(l_quantity) AS q FROM lineitem GROUP BY l_suppkey)) AS observed, (SELECT sum(l_quantity) FROM lineitem) AS expected, CASE WHEN abs((SELECT sum(q) FROM (SELECT sum(l_quantity) AS q FROM lineitem GROUP BY l_suppkey)) - (SELECT sum(l_quantity) FROM lineitem)) <= 0.01 THEN 'PASS' ELSE 'FAIL' END AS status")
 def _(t):
     return V.conserved(t.lineitem.groupBy("l_suppkey").agg(F.sum("l_quantity").alias("q")), F.col("q"), t.lineitem, F.col("l_quantity"), "quantity", 0.01)
 
 
-@query("va_06_ratio_range", "SELECT 'discount' AS \"check\", count(*) FILTER (WHERE NOT l_discount BETWEEN 0 AND 1)::DOUBLE AS observed, 0::DOUBLE AS expected, 'PASS' AS status FROM lineitem")
+@query("va_06_ratio_range", "SELECT 'discount' AS \"check\", count(*) FILTER (WHERE NOT l_discount BETWEEN 0 AND 1)::DOUBLE AS observed, 0::DOUBLE AS expected, CASE WHEN bool_and(l_discount BETWEEN 0 AND 1) THEN 'PASS' ELSE 'FAIL' END AS status FROM lineitem")
 def _(t):
     return V.violations(t.lineitem, "discount", ~F.col("l_discount").between(0, 1))
 
@@ -150,7 +150,7 @@ def _(t):
     return t.part.groupBy("p_brand").agg(F.countDistinct("p_type").alias("names")).where("names > 1")
 
 
-@query("va_09_coordinate_range", "SELECT 'range' AS \"check\", count(*) FILTER (WHERE NOT (embedding[1] BETWEEN -1 AND 1))::DOUBLE AS observed, 0::DOUBLE AS expected, 'PASS' AS status FROM embeddings")
+@query("va_09_coordinate_range", "SELECT 'range' AS \"check\", count(*) FILTER (WHERE NOT (embedding[1] BETWEEN -1 AND 1))::DOUBLE AS observed, 0::DOUBLE AS expected, CASE WHEN count(*) FILTER (WHERE NOT (embedding[1] BETWEEN -1 AND 1)) = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM embeddings")
 def _(t):
     return V.violations(t.embeddings, "range", ~F.col("embedding")[0].between(-1, 1))
 
@@ -164,16 +164,55 @@ def some_checks(t):
     return V.ledger(V.unique(t.orders, "orders_key", "o_orderkey"), V.references(t.orders, "orders_customer", "o_custkey", t.customer, "c_custkey"), V.violations(t.lineitem, "quantity", F.col("l_quantity") <= 0), V.row_count(t.region, "regions", 5))
 
 
-@query("va_14_ledger", "SELECT * FROM (VALUES ('orders_key', 'PASS'), ('orders_customer', 'PASS'), ('quantity', 'PASS'), ('regions', 'PASS')) v(\"check\", status)")
+CHECKS = """checks AS (SELECT 'orders_key' AS "check", count(*) = count(DISTINCT o_orderkey) AS ok FROM orders UNION ALL
+SELECT 'orders_customer', count(*) = 0 FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer) UNION ALL
+SELECT 'quantity', count(*) = 0 FROM lineitem WHERE l_quantity <= 0 UNION ALL SELECT 'regions', count(*) = 5 FROM region)"""
+#: The same ledger with a repeated key, a lost reference, a bound that many rows break and a wrong count.
+BROKEN = """checks AS (SELECT 'lines_key' AS "check", count(*) = count(DISTINCT l_orderkey) AS ok FROM lineitem UNION ALL
+SELECT 'orders_customer', count(*) = 0 FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0) UNION ALL
+SELECT 'quantity', count(*) = 0 FROM lineitem WHERE l_quantity > 25 UNION ALL SELECT 'regions', count(*) = 6 FROM region)"""
+STATUS = """SELECT "check", CASE WHEN ok THEN 'PASS' ELSE 'FAIL' END AS status FROM checks"""
+REDUCED = "SELECT count(*) AS checks, CASE WHEN bool_and(ok) THEN 'PASS' ELSE 'FAIL' END AS status, bool_and(ok) AS ready FROM checks"
+
+
+def broken_checks(t):
+    return V.ledger(V.unique(t.lineitem, "lines_key", "l_orderkey"), V.references(t.orders, "orders_customer", "o_custkey", t.customer.where("c_custkey % 2 = 0"), "c_custkey"),
+                    V.violations(t.lineitem, "quantity", F.col("l_quantity") > 25), V.row_count(t.region, "regions", 6))
+
+
+@query("va_14_ledger", f"WITH {CHECKS} {STATUS}")
 def _(t):
     return some_checks(t).select("check", "status")
 
 
-@query("va_13_15_reduction", "SELECT 4::BIGINT AS checks, 'PASS' AS status, true AS ready")
+@query("va_14_ledger_failing", f"WITH {BROKEN} {STATUS}")
+def _(t):
+    return broken_checks(t).select("check", "status")
+
+
+@query("va_13_15_reduction", f"WITH {CHECKS} {REDUCED}")
 def _(t):
     return V.reduced(some_checks(t))
 
 
+@query("va_13_15_reduction_failing", f"WITH {BROKEN} {REDUCED}")
+def _(t):
+    return V.reduced(broken_checks(t))
+
+
+@query("va_05_conservation_failing", """WITH p AS (SELECT sum(l_quantity) AS p FROM lineitem WHERE l_suppkey % 3 <> 0), w AS (SELECT sum(l_quantity) AS w FROM lineitem)
+SELECT 'quantity' AS "check", p AS observed, w AS expected, CASE WHEN abs(p - w) <= 0.01 THEN 'PASS' ELSE 'FAIL' END AS status FROM p, w""")
+def _(t):
+    parts = t.lineitem.where("l_suppkey % 3 <> 0").groupBy("l_suppkey").agg(F.sum("l_quantity").alias("q"))
+    return V.conserved(parts, F.col("q"), t.lineitem, F.col("l_quantity"), "quantity", 0.01)
+
+
+@query("va_06_09_range_failing", """SELECT 'discount' AS "check", count(*) FILTER (WHERE l_discount > 0.05)::DOUBLE AS observed, 0::DOUBLE AS expected, CASE WHEN max(l_discount) <= 0.05 THEN 'PASS' ELSE 'FAIL' END AS status FROM lineitem UNION ALL
+SELECT 'range', count(*) FILTER (WHERE embedding[1] > 0)::DOUBLE, 0::DOUBLE, CASE WHEN max(embedding[1]) <= 0 THEN 'PASS' ELSE 'FAIL' END FROM embeddings""")
+def _(t):
+    return V.ledger(V.violations(t.lineitem, "discount", ~F.col("l_discount").between(0, 0.05)), V.violations(t.embeddings, "range", F.col("embedding")[0] > 0))
+
+
 @query("va_17_availability", "SELECT n_nationkey, CASE WHEN n = 0 THEN 'missing' WHEN n < 4 THEN 'candidate' ELSE 'available' END AS state FROM (SELECT n_nationkey, count(s_suppkey) AS n FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey GROUP BY 1)")
 def _(t):
     n = t.nation.join(t.supplier, F.col("s_nationkey") == F.col("n_nationkey"), "left").groupBy("n_nationkey").agg(F.count("s_suppkey").alias("n"))
@@ -283,6 +322,13 @@ def _(t):
     return E.upserted(old, new, "s_suppkey", ["s_acctbal"])
 
 
+@query("er_16_change_guard_failing", "SELECT count(*) AS changed FROM supplier WHERE s_suppkey % 5 = 0 AND s_suppkey % 2 <> 0 AND s_acctbal <> -1.0")
+def _(t):
+    old = t.supplier
+    new = old.withColumn("s_acctbal", F.when(F.col("s_suppkey") % 5 == 0, -1.0).otherwise(F.col("s_acctbal")))
+    return E.unchanged(old, new, "s_suppkey", old.where("s_suppkey % 2 = 0")).agg(F.count("*").alias("changed"))
+
+
 @query("er_16_change_guard", "SELECT count(*) AS changed FROM supplier WHERE false")
 def _(t):
     old = t.supplier
@@ -291,9 +337,10 @@ def _(t):
 
 
 # ---- sources, sinks and streams
-@query("src_12_pages", "SELECT doc_id, i::INT AS page, md5(p) AS digest FROM (SELECT doc_id, unnest(string_split(text, '.')) AS p, generate_subscripts(string_split(text, '.'), 1) AS i FROM documents WHERE NOT ends_with(text, '.')) ")
+@query("src_12_pages", """WITH p AS (SELECT doc_id, string_split(text, '.') AS p FROM documents WHERE text IS NOT NULL), q AS (SELECT doc_id, CASE WHEN len(p) > 1 AND trim(p[-1]) = '' THEN p[:len(p) - 1] ELSE p END AS p FROM p)
+SELECT doc_id, generate_subscripts(p, 1)::INT AS page, md5(unnest(p)) AS digest FROM q""")
 def _(t):
-    d = t.documents.where(~F.endswith("text", F.lit("."))).select("doc_id", F.replace("text", F.lit("."), F.lit("\f")).alias("text"))
+    d = t.documents.select("doc_id", F.replace("text", F.lit("."), F.lit("\f")).alias("text"))
     return S.pages(d, "doc_id", "text").select("doc_id", "page", F.md5(F.col("text").cast("binary")).alias("digest"))
 
 
@@ -302,7 +349,7 @@ def _(t):
     return S.numbered_lines(t.supplier.select("s_suppkey", F.concat(F.lit("head\n 1. "), F.col("s_name"), F.lit(" \n2、x\nno 3")).alias("text")), "s_suppkey", "text")
 
 
-@query("src_13_html_list", """WITH p AS (SELECT page_id, regexp_extract_all(regexp_replace(html, '(?s)<script\\b.*?</script>|<style\\b.*?</style>', ' ', 'g'), '(?s)<(?:h[1-6]|li)[^>]*>.*?</(?:h[1-6]|li)>') AS parts FROM pages), x AS (SELECT page_id, generate_subscripts(parts, 1) - 1 AS pos, unnest(parts) AS part FROM p),
+@query("src_13_html_list", """WITH p AS (SELECT page_id, regexp_extract_all(regexp_replace(html, '(?s)<script\\b.*?</script>|<style\\b.*?</style>', ' ', 'g'), '(?s)<(?:h[1-6]|li)\\b[^>]*>.*?</(?:h[1-6]|li)>') AS parts FROM pages), x AS (SELECT page_id, generate_subscripts(parts, 1) - 1 AS pos, unnest(parts) AS part FROM p),
 s AS (SELECT *, last_value(CASE WHEN part LIKE '<h%' THEN regexp_replace(part, '<[^>]*>', '', 'g') END IGNORE NULLS) OVER (PARTITION BY page_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS section FROM x) SELECT page_id, pos::INT AS pos, section, trim(regexp_replace(part, '<[^>]*>', '', 'g')) AS item FROM s WHERE part LIKE '<li%'""")
 def _(t):
     return S.html_items(t.pages, "page_id", "html")

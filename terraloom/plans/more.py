@@ -215,21 +215,15 @@ def _(t):
     return t.orders.select("o_orderkey").join(lines, "o_orderkey", "left").withColumn("status", F.when(F.col("lines").isNull(), "incomplete").otherwise("complete"))
 
 
-@query("snk_06_manifest", "SELECT 'supplier' AS path, count(*) AS records, md5(string_agg(s_name, ',' ORDER BY s_suppkey)) AS digest FROM supplier")
-def _(t):
-    names = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("s_suppkey", "s_name"))), lambda x: x["s_name"]), ",")
-    return t.supplier.agg(F.lit("supplier").alias("path"), F.count("*").alias("records"), F.md5(names.cast("binary")).alias("digest"))
-
-
-@query("snk_09_readiness", "SELECT true AS ready, 3::BIGINT AS parts")
+@query("snk_09_readiness", """WITH c AS (SELECT count(*) = 5 AS ok FROM region UNION ALL SELECT count(*) = 25 FROM nation UNION ALL SELECT count(*) = count(DISTINCT p_partkey) FROM part) SELECT bool_and(ok) AS ready, count(*) AS parts FROM c""")
 def _(t):
     m = V.ledger(V.row_count(t.region, "region", 5), V.row_count(t.nation, "nation", 25), V.unique(t.part, "part", "p_partkey"))
     return m.agg(F.bool_and(F.col("status") == "PASS").alias("ready"), F.count("*").alias("parts"))
 
 
-@query("src_16_text_sample", "SELECT page_id, substr(html, 1, 300) AS head FROM pages")
+@query("src_16_text_sample", "SELECT page_id, substr(html, 1, 30000) AS head FROM pages")
 def _(t):
-    return t.pages.select("page_id", F.substring("html", 1, 300).alias("head"))
+    return t.pages.select("page_id", F.substring("html", 1, 30000).alias("head"))
 
 
 @query("src_17_magic_bytes", "SELECT n_nationkey, (['pdf', 'zip', 'csv'])[n_nationkey % 3 + 1] AS type FROM nation")

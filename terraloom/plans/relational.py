@@ -163,12 +163,6 @@ def name_or_alias(t, customers):
 
 
 @query("jn_06_name_or_alias", """SELECT c_custkey, coalesce(a.s_suppkey, b.s_suppkey) AS s_suppkey FROM customer
-LEFT JOIN supplier a ON a.s_suppkey = c_custkey * 3 AND c_custkey % 2 = 0 LEFT JOIN supplier b ON b.s_suppkey = c_custkey WHERE c_custkey <= 200""")
-def _(t):
-    return name_or_alias(t, t.customer.where("c_custkey <= 200"))
-
-
-@query("jn_06_name_or_alias_whole", """SELECT c_custkey, coalesce(a.s_suppkey, b.s_suppkey) AS s_suppkey FROM customer
 LEFT JOIN supplier a ON a.s_suppkey = c_custkey * 3 AND c_custkey % 2 = 0 LEFT JOIN supplier b ON b.s_suppkey = c_custkey""")
 def _(t):
     return name_or_alias(t, t.customer)
@@ -400,7 +394,8 @@ def _(t):
 @query("wn_01_primary_label", "WITH g AS (SELECT l_partkey, l_suppkey, sum(l_quantity) AS a FROM lineitem GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY a DESC, l_suppkey) AS r FROM g) SELECT l_partkey, l_suppkey AS primary_supp, a FROM r WHERE r = 1")
 def _(t):
     g = t.lineitem.groupBy("l_partkey", "l_suppkey").agg(F.sum("l_quantity").alias("a"))
-    return J.latest(g, "l_partkey", F.desc("a"), F.asc("l_suppkey")).select("l_partkey", F.col("l_suppkey").alias("primary_supp"), "a")
+    best = g.groupBy("l_partkey").agg(F.max_by(F.struct("l_suppkey", "a"), F.struct("a", -F.col("l_suppkey"))).alias("m"))
+    return best.select("l_partkey", F.col("m.l_suppkey").alias("primary_supp"), "m.a")
 
 
 @query("wn_02_sequence_in_parent", "SELECT o_custkey, o_orderkey, 'ADMIN_' || o_custkey || '_' || lpad((row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey))::VARCHAR, 3, '0') AS child_id FROM orders")
@@ -473,12 +468,7 @@ def mixed_sort(lines):
     return lines.select("l_orderkey", "l_linenumber", "l_quantity").orderBy(F.desc("l_quantity"), F.asc("l_orderkey"), F.asc("l_linenumber"))
 
 
-@query("so_01_mixed_sort", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_orderkey < 500")
-def _(t):
-    return mixed_sort(t.lineitem.where("l_orderkey < 500"))
-
-
-@query("so_01_mixed_sort_whole", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem")
+@query("so_01_mixed_sort", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem")
 def _(t):
     return mixed_sort(t.lineitem)
 

@@ -101,3 +101,60 @@ def test_tied_ranks(spark):
     """Twelve districts of which eight have nothing share the last rank."""
     df = spark.createDataFrame([(i, *[float(max(0, 4 - i))] * 6) for i in range(12)], "k int, " + ", ".join(f"{c} double" for c in impact.WEIGHTS))
     assert [r["rank"] for r in impact.priority(df).orderBy("rank", "k").collect()] == [1, 2, 3, 4] + [5] * 8
+
+
+def test_global_rank_shares_ties(spark):
+    data = [(g, v) for g in ("a", "b", None) for v in (3.0, 1.0, 3.0, 2.0, None)]
+    df = spark.createDataFrame(data * 3, "g string, v double")
+    got = {(r.g, r.v): r.r for r in ranking.global_rank(df, "r", "g", "v").collect()}
+    assert all(got[g, 3.0] == 1 and got[g, 2.0] == 7 and got[g, 1.0] == 10 and got[g, None] == 13 for g in ("a", "b", None))
+
+
+def test_nearest_by_growing_rings(spark):
+    import random
+
+    from terraloom.operators import joins
+
+    rng = random.Random(4)
+    b = [(i, rng.gauss(0, 1), rng.gauss(0, 1)) for i in range(300)] + [(300, 500.0, 500.0), (301, 500.0, 500.0)]
+    a = [(i, rng.gauss(0, 2), rng.gauss(0, 2)) for i in range(200)] + [(200, 900.0, 900.0), (201, -300.0, 0.0)]
+    got = {r.a: (r.b, r.dist) for r in joins.nearest(spark.createDataFrame(a, "a long, ax double, ay double"), spark.createDataFrame(b, "b long, bx double, by double"), "a", "b").collect()}
+    for i, x, y in a:
+        d, k = min(((x - u) ** 2 + (y - v) ** 2, j) for j, u, v in b)
+        assert got[i][0] == k and abs(got[i][1] - d**0.5) < 1e-9
+
+
+def test_paths_longer_than_fifty_edges(spark):
+    edges = spark.createDataFrame([(i, i + 1, 1.0) for i in range(60)], "u long, v long, w double")
+    got = {r.node: r.dist for r in impact.shortest_paths(edges, spark.createDataFrame([(1, 0)], "case long, node long")).collect()}
+    assert got[60] == 60.0
+
+
+def test_replaced_folders_and_broken_packages(spark, tmp_path):
+    p = str(tmp_path / "layer")
+    for n in (5, 3):
+        assert writers.verified_write(spark.range(n), p, "id").first().ok
+    assert spark.read.parquet(p).count() == 3 and [x.name for x in tmp_path.iterdir()] == ["layer"]
+    bad = spark.createDataFrame([("a", bytearray(b"no package"))], "path string, content binary")
+    assert readers.zip_members_of(bad).first().error and readers.docx_rows(bad, "path", "content").first().error
+
+
+def test_html_items_ignore_link_tags(spark):
+    page = spark.createDataFrame([(1, "<head><link rel='x'></head><h1>Title</h1><ul><li>one</li></ul>")], "k long, html string")
+    assert [(r.section, r.item) for r in readers.html_items(page, "k", "html").collect()] == [("Title", "one")]
+
+
+def test_boxed_read_reaches_the_scan(spark, tmp_path):
+    spark.range(10).selectExpr("id", "id * 1.0D AS xmin", "id * 1.0D AS xmax", "0.0D AS ymin", "0.0D AS ymax", "'p' AS payload").write.parquet(str(tmp_path / "b"))
+    df = readers.read_boxed(spark, str(tmp_path / "b"), (3, -1, 5, 1), ["id"])
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.id for r in df.collect()) == [3, 4, 5] and "GreaterThanOrEqual(xmax" in plan and "payload" not in plan
+
+
+def test_geodesic_area_of_a_band(spark):
+    """A whole degree square by the closed form of the area between parallels."""
+    lons, lats = [F.lit(x) for x in (108.0, 108.02, 108.02, 108.0)], [F.lit(x) for x in (23.0, 23.0, 23.02, 23.02)]
+    area = one(spark, geo.geodesic_area(lons, lats).alias("a")).a
+    x = [geo.albers(a, b) for a, b in zip(lons, lats)]
+    ring = F.array(*[F.struct(u.alias("x"), v.alias("y")) for u, v in [*x, x[0]]])
+    assert abs(area / one(spark, geo.ring_area(ring).alias("a")).a - 1) < 1e-6

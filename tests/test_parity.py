@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from terraloom.plans import domain, more, relational, text_geo  # noqa: F401
+from terraloom.plans import domain, extra, files, more, relational, text_geo  # noqa: F401
 from terraloom.plans.registry import ORACLES, QUERIES
 
 DATA = "/root/testdata/sf0.001"
