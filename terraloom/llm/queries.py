@@ -97,6 +97,22 @@ SELECT page_id, host, coalesce(len(ls), 0)::BIGINT AS n_lines, (coalesce(len(ls)
        CASE WHEN ls IS NOT NULL THEN md5(coalesce(array_to_string(kept, chr(10)), '')) END AS text_md5
 FROM k"""
 
+OP9_SHARED = r"""
+WITH p AS (
+  SELECT page_id, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)) AS host,
+         list_filter(regexp_split_to_array(html, '(?s)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->|<[^>]*>|\n'), lambda x: trim(x) <> '') AS ls
+  FROM pages),
+c AS (SELECT host, line, count(*) AS n FROM (SELECT host, unnest(list_distinct(ls)) AS line FROM p) GROUP BY ALL),
+t AS (SELECT host, count(*) AS pages FROM p GROUP BY ALL),
+g AS (SELECT line, sum(n)::DOUBLE / (SELECT count(*) + 50.0::DOUBLE FROM p) AS g FROM c GROUP BY line),
+b AS (SELECT c.host, list(c.line) AS boiler FROM c JOIN t ON c.host IS NOT DISTINCT FROM t.host JOIN g ON c.line = g.line
+      WHERE n + 50.0::DOUBLE * g > (CASE WHEN length(c.line) < 20 THEN 0.3 ELSE 0.07 END)::DOUBLE * (pages + 50.0::DOUBLE) GROUP BY c.host),
+k AS (SELECT page_id, p.host, ls, CASE WHEN boiler IS NULL THEN ls ELSE list_filter(ls, lambda x: NOT list_contains(boiler, x)) END AS kept
+      FROM p LEFT JOIN b ON p.host IS NOT DISTINCT FROM b.host)
+SELECT page_id, host, coalesce(len(ls), 0)::BIGINT AS n_lines, (coalesce(len(ls), 0) - coalesce(len(kept), 0))::BIGINT AS n_dropped,
+       CASE WHEN ls IS NOT NULL THEN md5(coalesce(array_to_string(kept, chr(10)), '')) END AS text_md5
+FROM k"""
+
 OP8 = r"""
 WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
                   md5(coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
@@ -124,4 +140,4 @@ FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source LEFT JOIN took USING (do
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_source_mix": OP8, "op9_line_dedup": OP9}
+    return {"op8_source_mix": OP8, "op9_line_dedup": OP9, "op9_line_dedup_shared": OP9_SHARED}
