@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -24,8 +24,9 @@ SAMPLE_PER_LANG = 1500
 #: An n-gram belongs to a language if that share of its texts hold it, and at least FOREIGN of the largest share of any language.
 MIN_SHARE, FOREIGN = 0.01, 0.15
 SLOT_BITS = 20
-#: Rate under which a text is in none of the learned languages.
-MIN_RATE = 0.15
+#: A text is in none of the learned languages if its best rate is more than DEVIATIONS standard deviations, of a share
+#: of KNOWN among as many n-grams, below KNOWN: never with 19 n-grams or fewer.
+KNOWN, DEVIATIONS = 0.45, 4
 
 _MUL = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77))
 _fold = np.full(256, 32, np.uint8)
@@ -80,33 +81,34 @@ class LanguageFilters:
         fill = np.array([((self.table[:, i // 64] >> self.table.dtype.type(i % 64)) & self.table.dtype.type(1)).mean() for i in range(len(self.langs))])
         self.false_rate = fill ** len(_MUL)
 
-    def rates(self, texts: pa.Array) -> np.ndarray:
-        """Corrected share of each text's n-grams that each language contains: (texts, languages)."""
-        out = np.zeros((len(texts), len(self.langs)))
+    def rates(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Corrected share of each text's n-grams that each language contains, (texts, languages), and their number."""
+        out, total = np.zeros((len(texts), len(self.langs))), np.zeros(len(texts), np.int64)
         one = self.table.dtype.type(1)
         for row, buf, offsets in text_slices(lowered(texts)):
             g, bounds = grams(buf, offsets)
             a, b = slots(g)
+            total[row : row + len(offsets) - 1] = np.diff(bounds)
             n = np.maximum(np.diff(bounds), 1)
             for group in range(self.table.shape[1]):
                 mask = self.table[a, group] & self.table[b, group]
                 for i in range(64 * group, min(len(self.langs), 64 * group + 64)):
                     hits = segment_sums((mask >> self.table.dtype.type(i % 64)) & one, bounds)
                     out[row : row + len(offsets) - 1, i] = np.where(np.diff(bounds) > 0, (hits / n - self.false_rate[i]) / max(1e-9, 1 - self.false_rate[i]), 0)
-        return np.clip(out, 0, 1)
+        return np.clip(out, 0, 1), total
 
-    def predict(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-        """Language, score and best rate of each text."""
+    def predict(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+        """Language, score, best rate and number of n-grams of each text."""
+        r, n = self.rates(texts)
         if not self.langs:
-            return pa.array([UND] * len(texts)), np.zeros(len(texts)), np.zeros(len(texts))
-        r = self.rates(texts)
+            return pa.array([UND] * len(texts)), np.zeros(len(texts)), np.zeros(len(texts)), n
         best = r.argmax(1)
         top = r[np.arange(len(r)), best] if len(r) else np.zeros(0)
         total = r.sum(1)
         score = np.divide(top, total, out=np.zeros(len(r)), where=total > 0)
         known = pc.match_substring_regex(texts.cast(pa.large_string()).fill_null(""), r"\p{L}").to_numpy(zero_copy_only=False)
         lang = np.where(known, np.array(self.langs, object)[best], UND)
-        return pa.array(lang, pa.string()), np.where(known, score, 0.0), np.where(known, top, 0.0)
+        return pa.array(lang, pa.string()), np.where(known, score, 0.0), np.where(known, top, 0.0), n
 
 
 def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", per_lang: int = SAMPLE_PER_LANG,
@@ -147,16 +149,22 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", per_lan
 
 
 def with_language(docs: DataFrame, model: LanguageFilters, text_col: str = "text") -> DataFrame:
-    """``docs`` with a struct column ``_lang`` (lang, score, rate). A null text or one without a letter gets
+    """``docs`` with a struct column ``_lang`` (lang, score, rate, grams). A null text or one without a letter gets
     ``und``; an empty table stays empty."""
     shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.table))
     ready = []
 
-    @F.arrow_udf("struct<lang:string,score:double,rate:double>")
+    @F.arrow_udf("struct<lang:string,score:double,rate:double,grams:long>")
     def predict(texts: pa.Array) -> pa.Array:
         if not ready:
             ready.append(LanguageFilters(*shared.value))
-        lang, score, rate = ready[0].predict(texts)
-        return pa.StructArray.from_arrays([lang, pa.array(score), pa.array(rate)], ["lang", "score", "rate"])
+        lang, score, rate, grams = ready[0].predict(texts)
+        return pa.StructArray.from_arrays([lang, pa.array(score), pa.array(rate), pa.array(grams)], ["lang", "score", "rate", "grams"])
 
     return docs.withColumn("_lang", predict(F.col(text_col)))
+
+
+def in_learned(lang: Column) -> Column:
+    """Whether a text is in a learned language, from its ``_lang`` of ``with_language``; ``und`` is in none."""
+    least = KNOWN - DEVIATIONS * F.sqrt(KNOWN * (1 - KNOWN) / F.greatest(lang["grams"], F.lit(1)))
+    return (lang["lang"] != UND) & (lang["rate"] >= least)

@@ -421,12 +421,26 @@ def test_language_against_exact_sets(docs):
     model = langid.fit(docs)
     assert model.langs == sorted(sets)
     texts = [t for t, _ in data]
-    rates = model.rates(pa.array(texts))
-    for t, r in zip(texts, rates):
+    rates, grams = model.rates(pa.array(texts))
+    for t, r, n in zip(texts, rates, grams):
         want = rates_by_hand(sets, t)
+        assert n == len(grams_by_hand(t))
         assert list(r) == pytest.approx([want[l] for l in model.langs], abs=2e-3)
 
 
+def test_language_left_out(spark):
+    """Texts of a language without labels go, by length; texts of learned ones and very short ones stay."""
+    rng = random.Random(5)
+    vocabulary = {l: ["".join(rng.choice(a) for _ in range(rng.randint(3, 7))) for _ in range(60)] for l, a in (("x", "abcdefgh"), ("y", "ghijklmn"), ("z", "nopqrstu"))}
+    text = lambda l, n: " ".join(rng.choice(vocabulary[l]) for _ in range(n))
+    data = [(i, text(l, n), l) for i, (l, n) in enumerate((l, n) for l in "xyz" for n in [2] * 5 + [40] * 30)]
+    schema = "doc_id long, text string, lang string"
+    model = langid.fit(spark.createDataFrame([d for d in data if d[2] != "z"], schema))
+    kept = langid.with_language(spark.createDataFrame(data, schema), model).where(langid.in_learned(F.col("_lang"))).select("doc_id").collect()
+    want = {i for i, t, l in data if l != "z" or len(grams_by_hand(t)) <= 19}
+    assert {r.doc_id for r in kept} == want and 0 < sum(data[i][2] == "z" for i in want) <= 5
+
+
 def test_language_filters_hold_many_languages():
     members = {f"l{i:03d}": np.array([i * 7919 + 5], np.uint32) for i in range(130)}
     f = langid.LanguageFilters.build(members)
@@ -610,7 +624,8 @@ def test_pipeline_stages(spark, none, tmp_path):
         got = kept.collect()
         if name == "language_id":
             sets = languages_by_hand([(d[1], d[2]) for d in was])
-            fits = lambda t: re.search(r"[^\W\d_]", t or "") and (len(t) < cp.SHORT or max(rates_by_hand(sets, t).values()) >= langid.MIN_RATE)
+            least = lambda t: 0.45 - 4 * (0.45 * 0.55 / max(1, len(grams_by_hand(t)))) ** 0.5
+            fits = lambda t: re.search(r"[^\W\d_]", t or "") and max(rates_by_hand(sets, t).values()) >= least(t)
             same_rows(got, [d for d in was if fits(d[1])])
             assert 301 not in {d.doc_id for d in got}
         elif name == "line_dedup":
