@@ -17,19 +17,15 @@ from terraloom.llm.jaccard import jaccard_components
 from terraloom.llm.line_dedup import PRIOR, SHARED, drop_site_lines
 from terraloom.llm.mixing import mix_sources
 
-#: Characters below which a text is not rejected for unknown n-grams.
-SHORT = 20
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text is in one of the languages learned from the corpus's own labels; texts without a
-    letter (null and empty ones too) and texts of SHORT characters and more whose n-grams no learned language
-    holds go. Shorter texts have too few n-grams to be rejected for them."""
+    letter (null and empty ones too) go, and texts of whose n-grams no learned language holds about half (the
+    fewer n-grams, the fewer will do). Without any label there is no learned language, and nothing stays."""
     d = docs.select(*COLUMNS)
-    out = langid.with_language(d, langid.fit(d))
-    known = (F.col("_lang.rate") >= langid.MIN_RATE) | (F.length("text") < SHORT)
-    return out.where((F.col("_lang.lang") != langid.UND) & known).select(*COLUMNS)
+    return langid.with_language(d, langid.fit(d)).where(langid.in_learned(F.col("_lang"))).select(*COLUMNS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
