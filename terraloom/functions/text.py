@@ -7,13 +7,14 @@ are vectorised Python functions.
 from __future__ import annotations
 
 import unicodedata
-from difflib import SequenceMatcher
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from terraloom.functions.ratio import ratios
 from terraloom.operators.projection import ladder
 
 #: Full-width ASCII and the ideographic space, with what NFKC makes of them.
@@ -266,15 +267,20 @@ def match_name(x: Column) -> Column:
     return F.regexp_replace(F.lower(narrow(F.coalesce(x, F.lit("")))), "[\\s·•,，.。()（）\\[\\]【】\\-_—/\\\\]", "")
 
 
-@F.pandas_udf(T.DoubleType())
-def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Ratcliff-Obershelp ratio of two names."""
-    return pd.Series([SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b)])
+@F.arrow_udf(T.DoubleType())
+def sequence_ratio(a: pa.Array, b: pa.Array) -> pa.Array:
+    """Ratcliff-Obershelp ratio of two names; null counts as empty."""
+    x, y = (v.fill_null("").dictionary_encode() for v in (a, b))
+    return pa.array(ratios(x.dictionary.to_pylist(), y.dictionary.to_pylist(), x.indices.to_numpy(), y.indices.to_numpy()))
 
 
 def name_similarity(a: Column, b: Column) -> Column:
-    """Ratio of the match names; of contained names at least shorter over longer; 0 if one is empty."""
-    x, y = match_name(a), match_name(b)
+    """``match_similarity`` of the match names."""
+    return match_similarity(match_name(a), match_name(b))
+
+
+def match_similarity(x: Column, y: Column) -> Column:
+    """Ratio of match names; of contained names at least shorter over longer; 0 if one is empty."""
     ratio = sequence_ratio(x, y)
     inside = F.contains(x, y) | F.contains(y, x)
     share = F.least(F.length(x), F.length(y)) / F.greatest(F.length(x), F.length(y))

@@ -12,6 +12,8 @@ from terraloom.sources.shared import new_path
 
 #: Rows up to which a lookup side is broadcast; larger ones are joined by shuffle.
 BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 64 << 20
+#: Rows of a block in ``pairs_within``; a task compares about this many squared.
+BLOCK_ROWS, MOST_TASKS = 1024, 10_000
 #: Rows of a table that every row of another is compared with directly.
 FEW = 64
 
@@ -65,6 +67,18 @@ def blocked_pairs(df: DataFrame, key: str, blocks: dict[str, Column]) -> DataFra
     return out
 
 
+def pairs_within(df: DataFrame, key: str, row: str) -> DataFrame:
+    """All pairs of rows that agree on ``key`` (never null), the smaller ``row`` on the left: columns l_<name> and
+    r_<name>. The result is quadratic in a group by definition: groups are cut into blocks of about BLOCK_ROWS rows
+    and pairs of blocks are dealt to the tasks, so one large group, or a table in one file, still uses them all."""
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.ceil(F.count("*") / BLOCK_ROWS).alias("_n"), (F.count("*").cast("double") ** 2).alias("_w"))
+    tasks = max(1, min(MOST_TASKS, math.ceil((counts.agg(F.sum("_w")).first()[0] or 0) / BLOCK_ROWS**2)))
+    cut = df.join(sized(counts.drop("_w")), key).withColumn("_own", F.pmod(F.xxhash64(row), F.col("_n"))).withColumn("_other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1)))
+    side = lambda mark, x, y: cut.select(F.col(key).alias("_key"), F.col(x).alias("_x"), F.col(y).alias("_y"), *[F.col(c).alias(f"{mark}_{c}") for c in df.columns]).repartition(tasks, "_key", "_x", "_y")
+    pairs = side("l", "_own", "_other").hint("merge").join(side("r", "_other", "_own").hint("merge"), ["_key", "_x", "_y"])
+    return pairs.where(F.col(f"l_{row}") < F.col(f"r_{row}")).drop("_key", "_x", "_y")
+
+
 def cell_pairs(a: DataFrame, b: DataFrame, radius: float) -> DataFrame:
     """Rows of ``a`` (ax, ay) with rows of ``b`` (bx, by) not farther than ``radius``: equi-join on grid cells of
     that size, ``b`` in its own and the eight cells around, then the exact distance ``dist``."""

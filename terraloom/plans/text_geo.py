@@ -122,9 +122,9 @@ def _(t):
 
 @query("st_19_name_similarity")
 def _(t):
-    a = t.supplier.select(F.col("s_suppkey").alias("a"), F.col("s_name").alias("na"), "s_nationkey")
-    b = t.supplier.select(F.col("s_suppkey").alias("b"), F.col("s_name").alias("nb"), "s_nationkey")
-    return a.join(b, "s_nationkey").where("a < b").select("a", "b", X.name_similarity(F.col("na"), F.col("nb")).alias("similarity"))
+    names = t.supplier.select("s_suppkey", X.match_name(F.col("s_name")).alias("name"), "s_nationkey")
+    pairs = J.pairs_within(names, "s_nationkey", "s_suppkey")
+    return pairs.select(F.col("l_s_suppkey").alias("a"), F.col("r_s_suppkey").alias("b"), X.match_similarity(F.col("l_name"), F.col("r_name")).alias("similarity"))
 
 
 @query("st_21_detailed_address", "SELECT s_suppkey, s_suppkey % 2 = 0 AS detailed FROM supplier")
