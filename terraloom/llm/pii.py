@@ -1,16 +1,17 @@
 """Personal data by candidate gradient boosting.
 
 High-recall generators propose overlapping candidate spans; each gets a bit mask of format and context
-features; boosted trees of depth two over the bits, fitted here on a bounded sample, score it, and a threshold
-calibrated on a held-out fold decides (Elkan and Noto's rule for positive and unlabelled examples: half the mean
-score of the labelled ones there). Labels come from the validated base formats alone (mail, IP, Luhn card,
+features; boosted trees of depth two over the bits, fitted on half of the documents, score it, and a threshold
+calibrated on the other half decides (Elkan and Noto's rule for positive and unlabelled examples: half the mean
+score of the labelled ones there). No document is left out: the trees and the threshold need only counts per mask. Labels come from the validated base formats alone (mail, IP, Luhn card,
 international phone): a candidate is positive if one covers it. What decides those formats (the @, the plus sign,
 the check digit, the octets, and hence the kind) is hidden from the features, so the trees learn the shape and
 the context of personal data, and unlabelled candidates are ranked by them. Base spans always stay.
 
 Numbers whose format refutes them (16 to 19 digits that fail the check, dotted quads out of range) teach nothing
 and are never added. Scanning, features and scores are DataFrame expressions; the driver sees only
-the counts per feature mask (at most 2^len(FEATURES) rows).
+the counts per half and feature mask (at most 2 * 2^len(FEATURES) rows). ``pii_table`` scans each text once: the
+proposals are written to the shared folder, and both fitting and scoring read them there.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terraloom.llm.common import staged
 from terraloom.llm.spans import count_kind, digest, find_spans, let, no_spans, touches, with_cells
 
 #: Groups repeat possessively and runs start only where a run can start, so no pattern recurses or rescans: the
@@ -33,7 +35,7 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 NUMBER = r"(?<![A-Za-z0-9.])\(?[0-9](?:[\x20().-]{0,2}[0-9]){6,}+[A-Za-z]?"
 ADDRESS = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++(?:@|\x20?[\[(](?:at|AT)[\])]\x20?)[A-Za-z0-9-]++(?:(?:\.|\x20?[\[(](?:dot|DOT)[\])]\x20?)[A-Za-z0-9-]++)*+"
 HINTS = tuple(rf"(?i)(?:{words})[^A-Za-z0-9]{{0,4}}(?:no|nr|number)?[^A-Za-z0-9]{{0,4}}$" for words in ("phone|tel|call|mobile|fax|cell", "mail|contact|write to|reach", "card|visa|iban|account|ssn"))
-SAMPLE_DOCS, ROUNDS, RATE = 20_000, 20, 0.4
+ROUNDS, RATE = 20, 0.4
 FEATURES = ("address", "digits_8_15", "digits_16_19", "grouped", "parens", "dotted", "long_piece", "hint_phone", "hint_mail", "hint_card", "colon", "short_top")
 
 
@@ -114,15 +116,20 @@ def tree_score(trees, mask: int) -> float:
     return sum(leaves[2 * (mask >> a & 1) + (mask >> b & 1)] for a, b, leaves in trees)
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_docs: int = SAMPLE_DOCS):
-    """(trees, threshold) from a hash sample of about ``max_docs`` texts; half of it calibrates the threshold.
+def fold(id_: Column) -> Column:
+    """0 for documents that teach the trees, 1 for those that calibrate the threshold (a null id counts as empty)."""
+    return F.pmod(F.xxhash64(F.lit("pii"), F.coalesce(id_.cast("string"), F.lit(""))), F.lit(2))
 
-    Null and empty texts, and repeated rows, teach what they hold; extra columns are ignored. Without a candidate
-    (an empty table) or without a positive one nothing is ever added (threshold None)."""
-    n = docs.count()
-    h = F.pmod(F.xxhash64(F.lit("pii"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))), F.lit(1 << 30))
-    d = docs.select(h.alias("h"), F.col(text_col).alias("text")).where(F.col("text").isNotNull() & (F.col("h") < min(1.0, max_docs / max(n, 1)) * (1 << 30)))
-    c = candidates(d).select((F.col("h") % 2).alias("fold"), F.explode_outer("cand").alias("c"))  # an inner explode would have Spark test, and so compute, the candidates first
+
+def _proposed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, base, cand) of every row; a null text is empty."""
+    d = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return candidates(d).select("doc_id", "base", "cand")
+
+
+def _learn(proposed: DataFrame):
+    """(trees, threshold) from all proposals."""
+    c = proposed.select(fold(F.col("doc_id")).alias("fold"), F.explode_outer("cand").alias("c"))  # an inner explode would have Spark test, and so compute, the candidates first
     rows = (c.where(~F.col("c.refuted") | F.col("c.y")).groupBy("fold", F.col("c.mask").alias("mask"))
             .agg(F.count("*").alias("n"), F.sum(F.col("c.y").cast("int")).alias("p")).collect())
     learn = sorted((r["mask"], float(r["p"]), float(r["n"])) for r in rows if r["fold"] == 0)
@@ -138,14 +145,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_doc
     return trees, math.log(half / (1 - half))
 
 
-def scan(docs: DataFrame, trees, threshold: float | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, base, added): base spans, and the selected candidates that overlap no base span.
-
-    A null text is empty and has no span; repeated rows each give a row; extra columns are ignored; an empty table
-    gives no rows."""
-    d = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    d = candidates(d)
-
+def _select(proposed: DataFrame, trees, threshold: float | None) -> DataFrame:
+    """(doc_id, base, added) of proposals."""
     def score(mask: Column) -> Column:
         total = F.lit(0.0)
         for a, b, (l00, l01, l10, l11) in trees:
@@ -155,11 +156,36 @@ def scan(docs: DataFrame, trees, threshold: float | None, id_col: str = "doc_id"
 
     limit = threshold if threshold is not None else float("inf")
     chosen = F.filter("cand", lambda c: ~c["y"] & ~c["refuted"] & (score(c["mask"]) >= limit))
-    return d.select("doc_id", "base", F.coalesce(F.transform(chosen, lambda c: c["span"]), no_spans()).alias("added"))
+    return proposed.select("doc_id", "base", F.coalesce(F.transform(chosen, lambda c: c["span"]), no_spans()).alias("added"))
 
 
-def pii_digests(docs: DataFrame, trees, threshold: float | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans) for every row of ``docs``; rows as in ``scan``."""
-    s = scan(docs, trees, threshold, id_col, text_col)
+def _digests(s: DataFrame) -> DataFrame:
     return s.select("doc_id", *[count_kind(F.col("base"), k).alias(f"n_{k}") for k in ("email", "ip", "card", "phone")],
                     F.sha2(digest(F.col("base")), 256).alias("base_sha256"), digest(F.concat("base", "added")).alias("spans"))
+
+
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"):
+    """(trees, threshold) from all texts; half of them calibrate the threshold.
+
+    Null and empty texts, and repeated rows, teach what they hold; extra columns are ignored. Without a candidate
+    (an empty table) or without a positive one nothing is ever added (threshold None)."""
+    return _learn(_proposed(docs, id_col, text_col))
+
+
+def scan(docs: DataFrame, trees, threshold: float | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, base, added): base spans, and the selected candidates that overlap no base span.
+
+    A null text is empty and has no span; repeated rows each give a row; extra columns are ignored; an empty table
+    gives no rows."""
+    return _select(_proposed(docs, id_col, text_col), trees, threshold)
+
+
+def pii_digests(docs: DataFrame, trees, threshold: float | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans) for every row of ``docs``; rows as in ``scan``."""
+    return _digests(scan(docs, trees, threshold, id_col, text_col))
+
+
+def pii_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``pii_digests`` with the model fitted on the same ``docs``, each text scanned once."""
+    p = staged(_proposed(docs, id_col, text_col), "proposed")
+    return _digests(_select(p, *_learn(p)))
