@@ -25,14 +25,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from terraloom.llm.common import connected_components, drop_staged, partitions, release, staged
+from terraloom.llm.common import connected_components, drop_staged, in_batches_of, partitions, release, staged
 from terraloom.llm.tokens import mix64, per_text, text_slices, word_hashes, words
 
 N = 5
 #: Texts of the frequency sample: SAMPLE, or one in SAMPLE_SHARE of a larger corpus. A shingle counts as frequent from
 #: FREQUENT sampled sets on; of more than HOT such shingles the most frequent are taken (this moves cost only).
 SAMPLE, SAMPLE_SHARE, FREQUENT, HOT = 10_000, 1000, 4, 1 << 20
-SLICE_BYTES = 4 << 20
+#: Bytes of text handled at once, and of an Arrow batch: a batch passes its limit by a row, which seldom makes a second slice.
+SLICE_BYTES, BATCH_BYTES = 4 << 20, 7 << 19
+#: Rows of Parquet decoded at once.
+READ_ROWS = 256
+#: Shingles whose signatures are worked out at once.
+PIECE = 1 << 17
 #: Shingles whose signatures share a bucket: a bucket stays as small when the input grows and the partitions do not.
 BUCKET_SHINGLES = 4_000_000
 #: Least and largest size of a candidate filter, as powers of two of its bits.
@@ -115,7 +120,22 @@ def max_difference(total: int, percent: int) -> int:
 
 
 def signatures(h: np.ndarray, sizes: np.ndarray, hot: np.ndarray, hot_n: np.ndarray, percent: int, plan) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Signatures, 2 * set index + role of each, and the slack (set, role); see the module's text.
+    """Signatures, 2 * set index + role of each, and the slack (set, role), for runs of sets of about PIECE shingles."""
+    start = np.r_[0, np.cumsum(sizes)]
+    sig, doc, slack = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros((0, 2), np.int64)]
+    i = 0
+    while i < len(sizes):
+        j = max(i + 1, int(np.searchsorted(start, start[i] + PIECE, "right")) - 1)
+        s, d, k = _signatures(h[start[i] : start[j]], sizes[i:j], hot, hot_n, percent, plan)
+        sig.append(s)
+        doc.append(d + 2 * i)
+        slack.append(k)
+        i = j
+    return np.concatenate(sig), np.concatenate(doc), np.concatenate(slack)
+
+
+def _signatures(h: np.ndarray, sizes: np.ndarray, hot: np.ndarray, hot_n: np.ndarray, percent: int, plan) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same for one run; see the module's text.
 
     Role 0 is a set in its own size band, role 1 a visitor in the next. The last bit of a signature tells
     prefix (1) from segment (0). Slack: the units a set has beyond those it needs, -1 if it is poor."""
@@ -257,6 +277,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return j.mapInArrow(compare, "a long, b long")
 
 
+@in_batches_of(BATCH_BYTES, READ_ROWS)
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, n: int = N) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row.
 
